@@ -143,8 +143,8 @@ def pack(docs: DataFrame, tokenizer: str | None = None, capacity: int = 2048, pi
 
     A document (null text: empty, its end token alone) is cut into whole windows and, for the rest, even
     pieces of at most `piece` tokens. Only piece lengths are dealt out, by hash of document and start;
-    each task packs runs of about `group` windows by Karmarkar-Karp differencing. A run is closed just
-    below `group` full windows, so that the balanced windows are nearly full; the window count of a run
+    each task packs runs of about `group` windows by Karmarkar-Karp differencing. A run holds just less
+    than `group` full windows, so that the balanced windows are nearly full; the window count of a run
     rises when one would overflow. Repeated doc_ids are packed as separate documents; a null doc_id
     stays null. An empty table gives no rows. Extra columns are ignored.
     """
@@ -154,8 +154,8 @@ def pack(docs: DataFrame, tokenizer: str | None = None, capacity: int = 2048, pi
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sequence = TaskContext.get().partitionId() << 33
-        held: list[tuple] = []
-        total = 0
+        queue: list[tuple] = []
+        waiting = 0
 
         def close(rows: list[tuple]) -> Iterator[tuple]:
             nonlocal sequence
@@ -166,6 +166,20 @@ def pack(docs: DataFrame, tokenizer: str | None = None, capacity: int = 2048, pi
                     offset += rows[i][2]
                 sequence += 1
 
+        def take() -> list[tuple]:
+            """Pieces in order of arrival as long as they fit, then those that fit the rest best."""
+            nonlocal queue, waiting
+            room, n = target, 0
+            while n < len(queue) and queue[n][2] <= room:
+                room -= queue[n][2]
+                n += 1
+            rows, queue = queue[:n], queue[n:]
+            while (best := max((i for i, r in enumerate(queue) if r[2] <= room), key=lambda i: queue[i][2], default=None)) is not None:
+                room -= queue[best][2]
+                rows.append(queue.pop(best))
+            waiting -= target - room
+            return rows
+
         def flush(rows: list[tuple]) -> pa.RecordBatch:
             columns = list(zip(*rows, strict=True)) or [()] * 7
             return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=[c.split()[0] for c in PACKED.split(", ")])
@@ -176,12 +190,14 @@ def pack(docs: DataFrame, tokenizer: str | None = None, capacity: int = 2048, pi
                 if row[2] == capacity:
                     ready += close([row])
                     continue
-                if total + row[2] > target:
-                    ready += close(held)
-                    held, total = [], 0
-                held.append(row)
-                total += row[2]
+                queue.append(row)
+                waiting += row[2]
+                if waiting >= 2 * target:
+                    ready += close(take())
             yield flush(ready)
-        yield flush(list(close(held)))
+        ready = []
+        while queue:
+            ready += close(take())
+        yield flush(ready)
 
     return dealt.mapInArrow(run, PACKED)
