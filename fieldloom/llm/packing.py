@@ -65,16 +65,16 @@ def token_ids(text: str, path: str, end_id: int = 1) -> np.ndarray:
     return np.array(ids, dtype="<u4")
 
 
-def cuts(total: int, capacity: int, piece: int) -> Iterator[tuple[int, int]]:
-    """Start and length of a document's pieces: full windows first, then even parts of at most `piece`."""
+def cuts(total: int, capacity: int, fine: bool, least: int = 16) -> Iterator[tuple[int, int]]:
+    """Start and length of a document's pieces: full windows first, then the rest, whole or by halves.
+
+    Differencing levels its windows with small pieces, so the rest of a `fine` document is halved down to
+    pieces of at most `least` tokens.
+    """
     at = 0
-    while total - at >= capacity:
-        yield at, capacity
-        at += capacity
-    rest = total - at
-    parts = -(-rest // piece)
-    for k in range(parts):
-        length = rest * (k + 1) // parts - rest * k // parts
+    while at < total:
+        left = total - at
+        length = capacity if left >= capacity else left - left // 2 if fine and left > least else left
         yield at, length
         at += length
 
@@ -121,8 +121,8 @@ def balance(lengths: list[int], capacity: int) -> list[list[int]]:
         windows += 1
 
 
-def pieces(docs: DataFrame, tokenizer: str, capacity: int = 2048, piece: int = 512) -> DataFrame:
-    """Tokenise each text (null: empty) once and cut it; no text leaves its task."""
+def pieces(docs: DataFrame, tokenizer: str, capacity: int = 2048, fine: int = 3) -> DataFrame:
+    """Tokenise each text (null: empty) once and cut it, one document in `fine` into halves; no text leaves its task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):
@@ -130,7 +130,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = 2048, piece: int = 5
             for doc_id, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
                 ids = token_ids(text or "", tokenizer)
                 raw = memoryview(ids.tobytes())
-                for start, length in cuts(len(ids), capacity, piece):
+                for start, length in cuts(len(ids), capacity, zlib.crc32(raw) % fine == 0):
                     for column, value in zip(out, (doc_id, start, length, zlib.crc32(raw[4 * start : 4 * (start + length)]), len(ids)), strict=True):
                         column.append(value)
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out], names=["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
@@ -138,19 +138,19 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = 2048, piece: int = 5
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, PIECES)
 
 
-def pack(docs: DataFrame, tokenizer: str | None = None, capacity: int = 2048, piece: int = 512, group: int = 8) -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str | None = None, capacity: int = 2048, fine: int = 3, group: int = 8) -> DataFrame:
     """Pack all documents into windows of at most `capacity` tokens; one row per piece.
 
-    A document (null text: empty, its end token alone) is cut into whole windows and, for the rest, even
-    pieces of at most `piece` tokens. Only piece lengths are dealt out, by hash of document and start;
+    A document (null text: empty, its end token alone) is cut into whole windows and a rest; one document
+    in `fine`, by its ids, has the rest cut by halves, which gives the small pieces that level windows. Only piece lengths are dealt out, by hash of document and start;
     each task packs runs of about `group` windows by Karmarkar-Karp differencing. A run holds just less
     than `group` full windows, so that the balanced windows are nearly full; the window count of a run
     rises when one would overflow. Repeated doc_ids are packed as separate documents; a null doc_id
     stays null. An empty table gives no rows. Extra columns are ignored.
     """
-    cut = pieces(docs, tokenizer or default_tokenizer(), capacity, piece)
+    cut = pieces(docs, tokenizer or default_tokenizer(), capacity, fine)
     dealt = cut.repartition(F.xxhash64("doc_id", "start")).sortWithinPartitions("doc_id", "start", "length", "ids_crc32")
-    target = group * capacity - group
+    target = max(capacity, group * (capacity - capacity // 256))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sequence = TaskContext.get().partitionId() << 33
