@@ -9,14 +9,26 @@ from pyspark.sql import DataFrame, SparkSession
 from fieldloom.llm.common import documents
 
 
+def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from fieldloom.llm.fingerprints import fingerprints
+
+    return fingerprints(documents(spark, sf_dir))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from fieldloom.llm.packing import pack
 
     return pack(documents(spark, sf_dir))
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from fieldloom.llm.toxicity import toxicity
+
+    return toxicity(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op7_packing": op7_packing}
+    return {f.__name__: f for f in (op6_fingerprints, op7_packing, op10_toxicity)}
 
 
 def oracle_sql() -> dict[str, str]:
