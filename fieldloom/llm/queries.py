@@ -9,6 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from fieldloom.llm.common import documents
 
 
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from fieldloom.llm.tokencount import token_counts
+
+    return token_counts(documents(spark, sf_dir))
+
+
 def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     from fieldloom.llm.fingerprints import fingerprints
 
@@ -28,7 +34,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op6_fingerprints, op7_packing, op10_toxicity)}
+    return {f.__name__: f for f in (op5_token_counts, op6_fingerprints, op7_packing, op10_toxicity)}
 
 
 def oracle_sql() -> dict[str, str]:
