@@ -9,6 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from fieldloom.llm.common import documents
 
 
+def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from fieldloom.llm.html_text import extract
+
+    return extract(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from fieldloom.llm.tokencount import token_counts
 
@@ -34,7 +40,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op5_token_counts, op6_fingerprints, op7_packing, op10_toxicity)}
+    return {f.__name__: f for f in (op3_html_extraction, op5_token_counts, op6_fingerprints, op7_packing, op10_toxicity)}
 
 
 def oracle_sql() -> dict[str, str]:
