@@ -9,6 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from fieldloom.llm.common import documents
 
 
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from fieldloom.llm.pii import digest, personal_data
+
+    return digest(personal_data(documents(spark, sf_dir)))
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from fieldloom.llm.quality import quality_rules
 
@@ -46,7 +52,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_quality_rules, op3_html_extraction, op5_token_counts, op6_fingerprints, op7_packing, op10_toxicity)}
+    return {f.__name__: f for f in (op1_pii, op2_quality_rules, op3_html_extraction, op5_token_counts, op6_fingerprints, op7_packing, op10_toxicity)}
 
 
 def oracle_sql() -> dict[str, str]:
