@@ -27,6 +27,12 @@ def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract(spark.read.parquet(f"{sf_dir}/pages.parquet"))
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from fieldloom.llm.line_dedup import line_dedup
+
+    return line_dedup(documents(spark, sf_dir))
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from fieldloom.llm.tokencount import token_counts
 
@@ -45,6 +51,12 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(documents(spark, sf_dir))
 
 
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from fieldloom.llm.mixing import mixed
+
+    return mixed(documents(spark, sf_dir))
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     from fieldloom.llm.toxicity import toxicity
 
@@ -52,7 +64,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_pii, op2_quality_rules, op3_html_extraction, op5_token_counts, op6_fingerprints, op7_packing, op10_toxicity)}
+    return {f.__name__: f for f in (op1_pii, op2_quality_rules, op3_html_extraction, op4_line_dedup, op5_token_counts, op6_fingerprints, op7_packing, op8_mixing, op10_toxicity)}
 
 
 def oracle_sql() -> dict[str, str]:
