@@ -57,6 +57,12 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed(documents(spark, sf_dir))
 
 
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from fieldloom.llm.jaccard_join import jaccard_components
+
+    return jaccard_components(documents(spark, sf_dir))
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     from fieldloom.llm.toxicity import toxicity
 
@@ -64,7 +70,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_pii, op2_quality_rules, op3_html_extraction, op4_line_dedup, op5_token_counts, op6_fingerprints, op7_packing, op8_mixing, op10_toxicity)}
+    return {f.__name__: f for f in (op1_pii, op2_quality_rules, op3_html_extraction, op4_line_dedup, op5_token_counts, op6_fingerprints, op7_packing, op8_mixing, op9_jaccard_join, op10_toxicity)}
 
 
 def oracle_sql() -> dict[str, str]:
