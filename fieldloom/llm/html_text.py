@@ -69,7 +69,6 @@ def _tokens(html: str) -> list[tuple]:
             end = re.compile(rf"</{re.escape(name)}\b[^>]*>", re.I).search(html, at)
             if end or name in ("script", "style"):
                 at = end.end() if end else len(html)
-                out.append(("open", "hr", ""))
                 continue
         out.append(("close", name) if m[1] else ("open", name, m[3]))
 
@@ -163,7 +162,8 @@ def main_text(html: str | None) -> str:
     """Text between the surge and dive points of a page's line-block distribution, joined by newlines.
 
     A window is WINDOW lines from a line on. Text starts at a line whose window holds more than SURGE
-    characters and goes on until a window holds less than DIVE; a page may surge more than once. A page
+    characters and goes on until one that starts with an empty line holds less than DIVE; a page may surge
+    more than once. A page
     without a surge gives its longest run of lines that count. Null or empty html gives "".
     """
     page = lines(html) if html else []
@@ -174,7 +174,7 @@ def main_text(html: str | None) -> str:
     for (text, n), total in zip(page, sums, strict=True):
         if not inside and total > SURGE and n:
             inside = True
-        if inside and total < DIVE:
+        if inside and total < DIVE and not n:
             inside = False
         if inside and text and n:
             kept.append(text)

@@ -72,15 +72,15 @@ def deletions(docs: DataFrame, scratch: Scratch, least: int = MIN_WORDS) -> Data
     Line ids are 64-bit hashes of the lines without white space around them. Lines that occur once end
     every run, so only lines that occur twice or more are dealt out by document; each document names all
     its blocks of 2**k adjacent such lines, and one aggregation finds the first occurrence of each name in
-    order of (doc_id, text hash, place). Names are counted map-side first, and the join back may split a
-    hot name.
+    order of (doc_id, text hash, place). Lines and names are counted map-side first; the counts are written,
+    so that in the joins back a hot line or name can be split.
     """
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     key = [F.col("doc_id").cast("long").alias(_ID), F.xxhash64(text).alias(_HASH)]
     shape = lambda x, i: F.struct(i.alias("line"), F.xxhash64(F.regexp_replace(x, r"^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$", "")).alias("id"), F.size(F.array_remove(F.split(x, r"[\x20\x09-\x0D]+"), "")).alias("words"))
     lines = docs.select(*key, F.posexplode(F.filter(F.transform(F.split(text, "\n"), shape), lambda x: x["words"] > 0)).alias("place", "x")).select(_ID, _HASH, "place", "x.line", "x.id", "x.words")
     lines = scratch.keep(lines, "lines")
-    often = lines.groupBy("id").count().filter("count > 1").select("id")
+    often = scratch.keep(lines.groupBy("id").count().filter("count > 1").select("id"), "often")
     runs = lines.join(often, "id", "left_semi").groupBy(_ID, _HASH).agg(F.sort_array(F.collect_set(F.struct("place", "line", "id", "words"))).alias("lines"))
     runs = scratch.keep(runs, "runs")
 
@@ -98,7 +98,7 @@ def deletions(docs: DataFrame, scratch: Scratch, least: int = MIN_WORDS) -> Data
 
     blocks = scratch.keep(runs.mapInArrow(name, "doc long, hash long, place int, k int, name long"), "blocks")
     order = F.struct(F.col("doc").isNull().alias("last"), "doc", "hash", "place")
-    first = blocks.groupBy("name").agg(F.count("*").alias("n"), F.min(order).alias("first")).filter("n > 1").select("name", "first")
+    first = scratch.keep(blocks.groupBy("name").agg(F.count("*").alias("n"), F.min(order).alias("first")).filter("n > 1").select("name", "first"), "first")
     later = blocks.join(first, "name").filter(F.col("first") < order)
     gathered = later.groupBy(F.col("doc").alias(_ID), F.col("hash").alias(_HASH)).agg(F.collect_list(F.struct("k", "place", "first.doc", "first.hash", F.col("first.place").alias("at"))).alias("blocks"))
     same = gathered[_ID].eqNullSafe(runs[_ID]) & (gathered[_HASH] == runs[_HASH])
@@ -130,8 +130,8 @@ def dedup(docs: DataFrame, scratch: Scratch | None = None, least: int = MIN_WORD
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     gone = deletions(docs, scratch, least)
     keyed = docs.withColumns({_ID: F.col("doc_id").cast("long"), _HASH: F.xxhash64(text)})
-    keys = gone.select(F.col(_ID).alias("i"), F.col(_HASH).alias("h"), "gone").withColumnRenamed("gone", f"{PREFIX}places")
-    joined = keyed.join(keys, keyed[_ID].eqNullSafe(keys["i"]) & (keyed[_HASH] == keys["h"]), "left").drop("i", "h", _ID, _HASH)
+    keys = gone.select(F.col(_ID).alias(f"{PREFIX}i"), F.col(_HASH).alias(f"{PREFIX}h"), F.col("gone").alias(f"{PREFIX}places"))
+    joined = keyed.join(keys, keyed[_ID].eqNullSafe(keys[f"{PREFIX}i"]) & (keyed[_HASH] == keys[f"{PREFIX}h"]), "left").drop(f"{PREFIX}i", f"{PREFIX}h", _ID, _HASH)
     gone_lines = F.col(f"{PREFIX}places")
     n, n_gone = F.size(_nonblank(text)).cast("long"), F.coalesce(F.size(gone_lines), F.lit(0)).cast("long")
     rest = let(F.split(text, "\n"), lambda x: F.array_join(F.transform(F.array_except(F.sequence(F.lit(0), F.size(x) - 1), gone_lines), lambda i: F.get(x, i)), "\n"))
