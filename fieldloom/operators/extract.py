@@ -119,6 +119,32 @@ class Patterns:
         return json.dumps({"field": field, "value": found and found[1], "confidence": 1.0 if found else 0.0, "source_url": url, "raw_snippet": found and found[0][:150], "needs_review": not found, "notes": None})
 
 
+class ChatService:
+    """A chat-completion service over HTTP: a system and a user message, temperature 0, at most 1,024 tokens.
+
+    The key comes from the environment of the driver; without it construction fails, before any work. Only
+    the standard library is used. Untested against a live service here.
+    """
+
+    def __init__(self, endpoint: str, model: str, key_variable: str, system: str = "Extract only what the text says. Answer with one JSON object and nothing else.", timeout: float = 60) -> None:
+        import os
+
+        self.endpoint, self.model, self.system, self.timeout = endpoint, model, system, timeout
+        self.key = os.environ[key_variable]
+
+    def body(self, prompt: str) -> dict:
+        messages = [{"role": "system", "content": self.system}, {"role": "user", "content": prompt}]
+        return {"model": self.model, "messages": messages, "temperature": 0.0, "max_tokens": 1024}
+
+    def __call__(self, prompt: str, field: str, text: str, url: str) -> str:
+        import json
+        from urllib.request import Request, urlopen
+
+        headers = {"Authorization": f"Bearer {self.key}", "Content-Type": "application/json"}
+        with urlopen(Request(self.endpoint, json.dumps(self.body(prompt)).encode(), headers), timeout=self.timeout) as answer:
+            return json.load(answer)["choices"][0]["message"]["content"]
+
+
 def with_retries(call: Callable[[], str], attempts: int = 8, sleep: Callable[[float], None] = time.sleep) -> tuple[str | None, str | None]:
     """(reply, error). Only rate limits are tried again, after 5, 10, ... and at most 30 seconds."""
     for k in range(attempts):

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from fieldloom import schema
@@ -57,6 +57,17 @@ def outputs(registry: DataFrame, found: DataFrame, as_of: str, run_ts: str) -> D
     return joined.select("entity_id", F.to_json(body, {"ignoreNullFields": "false"}).alias("json"))
 
 
+def write_outputs(documents: DataFrame, path: str) -> None:
+    """One JSON document per entity, in a folder of its own."""
+    documents.write.mode("overwrite").partitionBy("entity_id").text(path)
+
+
+def watched(found: DataFrame, name: str = "extraction") -> tuple[DataFrame, Observation]:
+    """Envelopes whose next action also counts fields tried and found and their mean confidence, at no extra pass."""
+    seen = Observation(name)
+    return found.observe(seen, F.count("*").alias("tried"), F.count("value").alias("found"), F.avg("confidence").alias("confidence")), seen
+
+
 def run(spark: SparkSession, registry: DataFrame, texts: DataFrame, extractor: Extractor, store: Store, scratch_path: str, as_of: str, run_ts: str, report_path: str | None = None, sleep: Callable[[float], None] | None = None) -> str | None:
     """Extract every field of every entity, store the three tables, and return the report.
 

@@ -8,10 +8,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from fieldloom import schema
-from fieldloom.operators.extract import Recorded, envelopes, extract, parse_reply, with_retries
+from fieldloom.operators.extract import ChatService, Patterns, Recorded, envelopes, extract, parse_reply, with_retries
 from fieldloom.operators.store import Store, latest, ranked_latest, upserted
 from fieldloom.operators.typed import listed_values, records
-from fieldloom.plans.run import outputs, requests, run
+from fieldloom.plans.run import outputs, requests, run, watched, write_outputs
 from fieldloom.sources.pages import fetch, fetch_one, fetch_summary, page_texts
 from fieldloom.sources.registry import distinct_urls, load_registry, page_list
 from fieldloom.sources.robots import allowed, fetch_policies, gate, policy
@@ -149,6 +149,23 @@ def test_run(spark, registry, tmp_path):
     assert body["validation"]["ready_for_storage"] is False and set(body["fields"]) == {r.storage_key for r in schema.ROUTES}
 
 
+def test_sinks_and_counts(spark, registry, tmp_path):
+    texts = spark.createDataFrame([("north", "about", "https://north.example/a", "Founded in 1900.")], schema.PAGES)
+    answers = extract(requests(registry, texts), Patterns({"about_university": r"in (\d+)"}))
+    found, seen = watched(envelopes(answers))
+    write_outputs(outputs(registry, found, "2024-01-01", "t"), str(tmp_path / "out"))
+    assert sorted(p.name for p in (tmp_path / "out").glob("entity_id=*")) == ["entity_id=north", "entity_id=south"]
+    assert found.count() == 20 and seen.get["tried"] == 20 and seen.get["found"] == 1
+
+
+def test_service(monkeypatch):
+    with pytest.raises(KeyError):
+        ChatService("https://service.example", "m", "NO_SUCH_KEY_HERE")
+    monkeypatch.setenv("A_KEY", "k")
+    body = ChatService("https://service.example", "m", "A_KEY").body("p")
+    assert [m["role"] for m in body["messages"]] == ["system", "user"] and body["temperature"] == 0.0 and body["max_tokens"] == 1024
+
+
 def test_empty_store(spark, tmp_path):
     from fieldloom.operators.report import markdown
 
