@@ -79,6 +79,7 @@ def _batch(schema: pa.Schema, *columns) -> pa.RecordBatch:
 
 _POSTINGS = pa.schema([("bucket", pa.int32()), ("tokens", pa.binary()), ("docs", pa.binary()), ("known", pa.binary()), ("hashes", pa.binary())])
 _TALLY = pa.schema([("doc_id", pa.int64()), ("size", pa.int32()), ("n", pa.int32()), ("hash", pa.int64())])
+_SLIM = pa.schema([("slice", pa.int64()), ("doc_id", pa.int64()), ("size", pa.int32()), ("low", pa.binary())])
 _SETS = pa.schema([("slice", pa.int64()), ("doc_id", pa.int64()), ("size", pa.int32()), ("tokens", pa.binary())])
 _ENTRIES = pa.schema([("token", pa.int64()), ("doc_id", pa.int64()), ("size", pa.int32()), ("left", pa.int32())])
 
@@ -146,6 +147,47 @@ def _tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield _batch(_TALLY, ids, [None] * len(ids), n.astype(np.int32), [None] * len(ids))
 
 
+#: Bits of an id filter a row, and at most (16 MB).
+FILTER_BITS, MOST_BITS = 16, 2**27
+
+
+def _bits(ids: DataFrame, count: int) -> np.ndarray | None:
+    """A bitmap of hashed ids (one column), FILTER_BITS bits for each of `count` rows; None where it would pass MOST_BITS.
+
+    Spark builds it in pieces of 32,768 bits; at most 16 MB reach the driver and, as a broadcast, the tasks.
+    """
+    n = 2 ** max(15, (FILTER_BITS * count - 1).bit_length())
+    if n > MOST_BITS:
+        return None
+    place = F.pmod(F.xxhash64(ids.columns[0]), F.lit(n))
+    pieces = ids.select((place + 1).alias("p")).groupBy(F.bitmap_bucket_number("p").alias("k")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("p")).alias("b")).collect()
+    out = np.zeros(n // 8, np.uint8)
+    for r in pieces:
+        at = (r["k"] - 1) * 4096
+        out[at : at + 4096] = np.frombuffer(bytes(r["b"]), np.uint8)[: len(out) - at]
+    return out
+
+
+def _among(rows: DataFrame, ids: DataFrame, count: int) -> DataFrame:
+    """Rows whose doc_id is in `ids` (column doc_id), and with a filter a few others.
+
+    The filter runs before any shuffle. Beyond its bound an exact semi-join by shuffle takes its place.
+    """
+    bits = _bits(ids, count)
+    if bits is None:
+        return rows.join(ids, "doc_id", "left_semi")
+    held = rows.sparkSession.sparkContext.broadcast(bits)
+    n = 8 * len(bits)
+    marked, names = rows.withColumn("__place", F.pmod(F.xxhash64("doc_id"), F.lit(n))), rows.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = batch.column(batch.num_columns - 1).to_numpy(zero_copy_only=False)
+            yield batch.select(names).filter(pa.array((held.value[at >> 3] >> (at & 7)) & 1 == 1))
+
+    return marked.mapInArrow(run, rows.schema)
+
+
 def _sets(n: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, SET_DOCS):
@@ -160,17 +202,23 @@ _COUNTED = pa.schema([("bucket", pa.int32()), ("slice", pa.int64()), ("tokens",
 _REPLIES = pa.schema([("slice", pa.int64()), ("tokens", pa.binary()), ("counts", pa.binary())])
 
 
+def _slim(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for part in slices(batches):
+        low = [_six(np.frombuffer(t, np.uint64)) for t in part.column(3).to_pylist()]
+        yield _batch(_SLIM, *part.columns[:3], low)
+
+
 def _counted(buckets: int) -> Callable:
     """Distinct tokens of each slice of sets and how many of its documents hold them, packed by bucket."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for name, rows in _by_bucket(batches):
-            tokens, counts = np.unique(np.frombuffer(b"".join(r[3] for r in rows), np.uint64), return_counts=True)
+            tokens, counts = np.unique(_from_six(b"".join(r[3] for r in rows)), return_counts=True)
             order = np.argsort(tokens % np.uint64(buckets), kind="stable")
-            tokens, counts = tokens[order], counts[order].astype(np.uint32)
+            tokens, counts = tokens[order], np.minimum(counts[order], 2**16 - 1).astype(np.uint16)
             ends = np.searchsorted(tokens % np.uint64(buckets), np.arange(buckets + 1, dtype=np.uint64))
             used = np.flatnonzero(ends[1:] > ends[:-1]).tolist()
-            yield _batch(_COUNTED, used, [name] * len(used), [tokens[ends[k] : ends[k + 1]].tobytes() for k in used], [counts[ends[k] : ends[k + 1]].tobytes() for k in used])
+            yield _batch(_COUNTED, used, [name] * len(used), [_six(tokens[ends[k] : ends[k + 1]]) for k in used], [counts[ends[k] : ends[k + 1]].tobytes() for k in used])
 
     return run
 
@@ -178,28 +226,31 @@ def _counted(buckets: int) -> Callable:
 def _replies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """For each slice its tokens that two documents or more hold, and how many do."""
     for _, rows in _by_bucket(batches):
-        parts = [np.frombuffer(r[2], np.uint64) for r in rows]
+        parts = [_from_six(r[2]) for r in rows]
         tokens, at = np.unique(np.concatenate(parts), return_inverse=True)
-        total = np.bincount(at, np.frombuffer(b"".join(r[3] for r in rows), np.uint32), len(tokens)).astype(np.uint32)[at]
+        total = np.bincount(at, np.frombuffer(b"".join(r[3] for r in rows), np.uint16), len(tokens)).astype(np.uint32)[at]
         ends = np.cumsum([0, *map(len, parts)])
         out: list[list] = [[], [], []]
         for k, (row, part) in enumerate(zip(rows, parts, strict=True)):
             df = total[ends[k] : ends[k + 1]]
             if (held := df > 1).any():
-                for column, value in zip(out, (row[1], part[held].tobytes(), df[held].tobytes()), strict=True):
+                for column, value in zip(out, (row[1], _six(part[held]), df[held].tobytes()), strict=True):
                     column.append(value)
         yield _batch(_REPLIES, *out)
 
 
 def _entries(sets: pa.Table, replies: pa.Table) -> pa.Table:
-    """Order-2 prefix tokens of a slice's sets that other documents hold; `left` counts the tokens from each on."""
-    tokens = np.frombuffer(b"".join(replies.column("tokens").to_pylist()), np.uint64)
+    """Order-2 prefix tokens of a slice's sets that other documents hold; `left` counts the tokens from each on.
+
+    Tokens are cut to 48 bits here: one that two tokens share can only add candidates.
+    """
+    tokens = _from_six(b"".join(replies.column("tokens").to_pylist()))
     df = np.frombuffer(b"".join(replies.column("counts").to_pylist()), np.uint32)
     order = np.argsort(tokens)
     tokens, df = tokens[order], df[order]
     out = []
-    for doc, size, raw in zip(sets.column("doc_id").to_pylist(), sets.column("size").to_pylist(), sets.column("tokens").to_pylist(), strict=True):
-        own = np.frombuffer(raw, np.uint64)
+    for doc, size, raw in zip(sets.column("doc_id").to_pylist(), sets.column("size").to_pylist(), sets.column("low").to_pylist(), strict=True):
+        own = _from_six(raw)
         at = np.minimum(np.searchsorted(tokens, own), max(0, len(tokens) - 1))
         held = tokens[at] == own if len(tokens) else np.zeros(len(own), bool)
         mine, often = own[held], df[at[held]] if len(tokens) else df
@@ -230,8 +281,10 @@ def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([v for v, k in zip(c, keep, strict=True) if k], pa.int64()) for c in (x, y)], names=["x", "y"])
 
 
-def _linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Pairs (x, y) whose sets link."""
+def _linked(pairs: DataFrame, sets: DataFrame, count: int) -> DataFrame:
+    """Pairs (x, y) whose sets link. Only sets that occur in a pair are dealt out."""
+    used = pairs.select(F.col("x").alias("doc_id")).union(pairs.select("y")).distinct()
+    sets = _among(sets.select("doc_id", "tokens"), used, count)
     a = sets.select(F.col("doc_id").alias("x"), F.col("tokens").alias("a"))
     b = sets.select(F.col("doc_id").alias("y"), F.col("tokens").alias("b"))
     return pairs.join(a, "x").join(b, "y").select("x", "y", "a", "b").mapInArrow(_verified, "x long, y long").distinct()
@@ -271,7 +324,8 @@ def jaccard_components(docs: DataFrame, n: int = 5, scratch: Scratch | None = No
     scratch = scratch or Scratch(docs.sparkSession, "jaccard")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     known = rows.filter("doc_id IS NOT NULL")
-    buckets = min(65_536, max(64, docs.count() // 2000))
+    count = docs.count()
+    buckets = min(65_536, max(64, count // 2000))
 
     posted = known.mapInArrow(_postings(buckets, n), _ddl(_POSTINGS)).repartition("bucket").sortWithinPartitions("bucket")
     tally = scratch.keep(posted.mapInArrow(_tally, _ddl(_TALLY)), "tally")
@@ -284,10 +338,11 @@ def jaccard_components(docs: DataFrame, n: int = 5, scratch: Scratch | None = No
     copies = scratch.keep(kept.join(classes, ["hash", "size"]).select("doc_id", "rep"), "copies")
     reps = classes.select(F.col("rep").alias("doc_id")).distinct()
 
-    sets = scratch.keep(known.join(reps, "doc_id", "left_semi").mapInArrow(_sets(n), _ddl(_SETS)), "sets")
-    counted = sets.mapInArrow(_counted(buckets), _ddl(_COUNTED)).repartition("bucket").sortWithinPartitions("bucket")
+    sets = scratch.keep(_among(known, reps, count).mapInArrow(_sets(n), _ddl(_SETS)), "sets")
+    slim = sets.mapInArrow(_slim, _ddl(_SLIM))
+    counted = slim.mapInArrow(_counted(buckets), _ddl(_COUNTED)).repartition("bucket").sortWithinPartitions("bucket")
     replies = counted.mapInArrow(_replies, _ddl(_REPLIES))
-    entries = sets.groupBy("slice").cogroup(replies.groupBy("slice")).applyInArrow(_entries, _ddl(_ENTRIES))
+    entries = slim.groupBy("slice").cogroup(replies.groupBy("slice")).applyInArrow(_entries, _ddl(_ENTRIES))
     entries = scratch.keep(entries, "entries")
 
     edges = copies.groupBy("doc_id").agg(F.min("rep").alias("x"), F.max("rep").alias("y")).filter("x < y").select("x", "y")
@@ -297,7 +352,7 @@ def jaccard_components(docs: DataFrame, n: int = 5, scratch: Scratch | None = No
     for name, candidates in rounds:
         labelled = entries.join(labels.select(F.col("node").alias("doc_id"), "label"), "doc_id", "left").withColumn("label", F.coalesce("label", "doc_id"))
         pairs = scratch.keep(candidates(labelled), f"{name}-pairs")
-        edges = scratch.keep(edges.union(_linked(pairs, sets)).distinct(), f"{name}-edges")
+        edges = scratch.keep(edges.union(_linked(pairs, sets, count)).distinct(), f"{name}-edges")
         labels = components(edges, scratch, name)
 
     rep = copies.groupBy("doc_id").agg(F.min("rep").alias("rep"))
