@@ -168,31 +168,39 @@ def _bits(ids: DataFrame, count: int) -> np.ndarray | None:
     return out
 
 
-def _among(rows: DataFrame, ids: DataFrame, count: int) -> DataFrame:
-    """Rows whose doc_id is in `ids` (column doc_id), and with a filter a few others.
+def _among(rows: DataFrame, ids: DataFrame, count: int, then: Callable | None = None, schema: str | None = None) -> DataFrame:
+    """Rows whose doc_id is in `ids` (column doc_id), and with a filter a few others; `then` maps them to `schema`.
 
-    The filter runs before any shuffle. Beyond its bound an exact semi-join by shuffle takes its place.
+    The filter runs before any shuffle, in one worker with `then`. Beyond its bound an exact semi-join by
+    shuffle takes its place.
     """
     bits = _bits(ids, count)
     if bits is None:
-        return rows.join(ids, "doc_id", "left_semi")
+        exact = rows.join(ids, "doc_id", "left_semi")
+        return exact.mapInArrow(then, schema) if then else exact
     held = rows.sparkSession.sparkContext.broadcast(bits)
     n = 8 * len(bits)
     marked, names = rows.withColumn("__place", F.pmod(F.xxhash64("doc_id"), F.lit(n))), rows.columns
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+    def chosen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
             at = batch.column(batch.num_columns - 1).to_numpy(zero_copy_only=False)
             yield batch.select(names).filter(pa.array((held.value[at >> 3] >> (at & 7)) & 1 == 1))
 
-    return marked.mapInArrow(run, rows.schema)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from then(chosen(batches)) if then else chosen(batches)
+
+    return marked.mapInArrow(run, schema or rows.schema)
 
 
 def _sets(n: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        name, held = uuid.uuid4().int >> 65, 0
         for part in slices(batches, SET_DOCS):
             sets = [token_set(t, n) for t in part.column(1).to_pylist()]
-            name = uuid.uuid4().int >> 65
+            if held + len(sets) > SET_DOCS:
+                name, held = uuid.uuid4().int >> 65, 0
+            held += len(sets)
             yield _batch(_SETS, [name] * len(sets), part.column(0).to_pylist(), [len(s) for s in sets], [s.tobytes() for s in sets])
 
     return run
@@ -213,7 +221,7 @@ def _counted(buckets: int) -> Callable:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for name, rows in _by_bucket(batches):
-            tokens, counts = np.unique(_from_six(b"".join(r[3] for r in rows)), return_counts=True)
+            tokens, counts = np.unique(np.frombuffer(b"".join(r[3] for r in rows), np.uint64) & _LOW48, return_counts=True)
             order = np.argsort(tokens % np.uint64(buckets), kind="stable")
             tokens, counts = tokens[order], np.minimum(counts[order], 2**16 - 1).astype(np.uint16)
             ends = np.searchsorted(tokens % np.uint64(buckets), np.arange(buckets + 1, dtype=np.uint64))
@@ -334,13 +342,13 @@ def jaccard_components(docs: DataFrame, n: int = 5, scratch: Scratch | None = No
     need = 1 + F.floor(F.lit(MARGIN) * F.ceil(F.col("size") * 4 / F.lit(5.0)))
     kept = sizes.filter("size > 0").join(shared, "doc_id").filter(F.col("n") >= need).select("doc_id", "size", "hash")
     kept = scratch.keep(kept, "kept")
-    classes = kept.groupBy("hash", "size").agg(F.min("doc_id").alias("rep"))
+    classes = scratch.keep(kept.groupBy("hash", "size").agg(F.min("doc_id").alias("rep")), "classes")
     copies = scratch.keep(kept.join(classes, ["hash", "size"]).select("doc_id", "rep"), "copies")
     reps = classes.select(F.col("rep").alias("doc_id")).distinct()
 
-    sets = scratch.keep(_among(known, reps, count).mapInArrow(_sets(n), _ddl(_SETS)), "sets")
+    sets = scratch.keep(_among(known, reps, count, _sets(n), _ddl(_SETS)), "sets")
     slim = sets.mapInArrow(_slim, _ddl(_SLIM))
-    counted = slim.mapInArrow(_counted(buckets), _ddl(_COUNTED)).repartition("bucket").sortWithinPartitions("bucket")
+    counted = sets.mapInArrow(_counted(buckets), _ddl(_COUNTED)).repartition("bucket").sortWithinPartitions("bucket")
     replies = counted.mapInArrow(_replies, _ddl(_REPLIES))
     entries = slim.groupBy("slice").cogroup(replies.groupBy("slice")).applyInArrow(_entries, _ddl(_ENTRIES))
     entries = scratch.keep(entries, "entries")
