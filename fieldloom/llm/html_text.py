@@ -90,15 +90,15 @@ def lines(html: str) -> list[tuple[str, int]]:
 
     White space inside a block is one space. What is marked as boilerplate gives WINDOW empty lines in its
     place, so that a window dives there. Text of links does not count. Where the page marks its article,
-    lines in it count SURGE more and lines outside it do not count.
+    lines in it count SURGE more and lines outside it do not count. An article without an end tag goes on to
+    the end of what surrounds it; one without text, or inside boilerplate, marks nothing.
     """
     tokens = _tokens(html)
     ends = _ends(tokens)
-    marked_main = any(t[0] == "open" and t[1] in _MAIN for t in tokens)
-    out: list[tuple[str, int]] = []
+    out: list[tuple[str, int, bool]] = []
     parts: list[str] = []
     links = anchored = main = heading = 0
-    dropped_until = head_until = -1
+    head_until = -1
     mains: list[int] = []
 
     def close() -> None:
@@ -106,7 +106,7 @@ def lines(html: str) -> list[tuple[str, int]]:
         text = _SPACE.sub(" ", unescape("".join(parts))).strip()
         if text:
             counted = max(0, len(text) - anchored) if anchored * 2 < len(text) or main else 0
-            out.append((text, counted + SURGE * bool(main) if not marked_main or main else 0))
+            out.append((text, counted + SURGE * bool(main), bool(main)))
         parts.clear()
         anchored = 0
 
@@ -127,9 +127,9 @@ def lines(html: str) -> list[tuple[str, int]]:
         if t[0] == "open":
             if name == "a":
                 links += 1
-            elif name in _MAIN and i in ends and i > dropped_until:
+            elif name in _MAIN:
                 main += 1
-                mains.append(ends[i])
+                mains.append(ends.get(i, mains[-1] if mains else len(tokens)))
             elif name == "header" and main and i in ends and not _marked(t[2]):
                 head_until, heading = ends[i], 0
             elif name in _HEADINGS:
@@ -142,7 +142,7 @@ def lines(html: str) -> list[tuple[str, int]]:
                     end = next((k for k in range(i + 1, len(tokens)) if tokens[k][0] == "open" and tokens[k][1] in (*_MAIN, "h1")), len(tokens)) - 1
                 if end is not None:
                     close()
-                    out += [("", 0)] * WINDOW
+                    out += [("", 0, False)] * WINDOW
                     links = anchored = 0
                     i = end
         else:
@@ -150,12 +150,13 @@ def lines(html: str) -> list[tuple[str, int]]:
                 links = max(0, links - 1)
             elif name in _HEADINGS:
                 heading = 0
-            if mains and i >= mains[-1]:
+            while mains and i >= mains[-1]:
                 mains.pop()
                 main -= 1
-                out += [("", 0)] * WINDOW
+                out += [("", 0, False)] * WINDOW
     close()
-    return out
+    marked_main = any(m for _, _, m in out)
+    return [(text, n if m or not marked_main else 0) for text, n, m in out]
 
 
 def main_text(html: str | None) -> str:

@@ -164,6 +164,17 @@ def test_html_odd(spark):
     assert html_text.main_text(page) == "Title here\nA long paragraph of text that goes on & on with a link in it, until at last it ended.\nShort.\nLast words."
 
 
+def test_html_article_region():
+    long = "A long paragraph of text that goes on and on, so that its block alone is enough to surge here."
+    for name in ("article", "main"):
+        assert html_text.main_text(f"<body><nav><a href=/>Home</a></nav><{name}><h1>Title</h1><p>{long}</p><p>Short.</p><footer>(c)</footer></body>") == f"Title\n{long}\nShort."
+    assert html_text.main_text(f"<main><article><p>{long}</p></main><p>{long} Outside.</p>") == long
+    for block in ("<aside>{}</aside>", "<div class=related>{}</div>", "<div class=sidebar>{}</div>"):
+        card = block.format("<article><h3>Teaser</h3><p>Read this too.</p></article>")
+        assert html_text.main_text(f"<body><div><h1>Title</h1><p>{long}</p></div>{card}</body>") == f"Title\n{long}"
+    assert html_text.main_text(f"<body><main></main><div><p>{long}</p></div></body>") == long
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.text(alphabet="<>/pabdiv= \"'!-&;x\n", max_size=200))
 def test_html_never_fails(text):
