@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 from html import unescape
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -16,8 +18,8 @@ from fieldloom.llm.common import slices
 WINDOW, SURGE, DIVE = 3, 80, 15
 
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*+>|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>=]++|=[ \t\r\n\f]*+(?:\"[^\"]*+\"|'[^']*+'|))*+)>", re.S)
-_MARK = re.compile(r"\b(?:class|id|role|aria-label)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
-_HIDDEN = re.compile(r"\bhidden\b|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
+_ATTRIBUTE = re.compile(r"([^\s\"'=/>]++)(?:\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s>]*+)))?")
+_UNSEEN = re.compile(r"display\s*:\s*none", re.I)
 _SPACE = re.compile(r"\s+")
 
 _RAW = {"script", "style", "textarea", "iframe", "noscript", "xmp", "title", "template"}
@@ -37,15 +39,30 @@ _BOILERPLATE = {
     "sponsor", "sponsored", "subscribe", "taboola", "toolbar", "topbar", "widget",
 }
 
+_MARKS = {"class", "id", "role", "aria-label"}
+_HAVING = {"has", "have", "having", "no", "not", "with", "without"}
+_OWN = {"article", "content", "entry", "page", "post", "section", "story"}
 
-def _marked(attributes: str) -> bool:
+
+def _marked(name: str, attributes: str) -> bool:
+    """Whether an element is hidden, or a class, id, role or label says that it is boilerplate.
+
+    A token that says what the element has ("has-sidebar"), how it is laid out ("sidebar-layout") or that it
+    is the article's own header ("article-header") says nothing of that kind; nor do ids of headings, which
+    repeat their text.
+    """
     if not attributes or attributes.isspace():
         return False
-    if _HIDDEN.search(attributes):
-        return True
-    for m in _MARK.finditer(attributes):
-        for word in re.findall(r"[a-z]+", re.sub(r"(?<=[a-z])(?=[A-Z])", " ", m[1] or m[2] or m[3] or "").lower()):
-            if word in _BOILERPLATE:
+    for m in _ATTRIBUTE.finditer(attributes):
+        key, value = m[1].lower(), m[2] or m[3] or m[4] or ""
+        if key == "hidden" or key == "aria-hidden" and value.strip().lower() == "true" or key == "style" and _UNSEEN.search(value):
+            return True
+        if key not in _MARKS or key == "id" and name in _HEADINGS:
+            continue
+        for token in value.split():
+            words = re.findall(r"[a-z]+", re.sub(r"(?<=[a-z])(?=[A-Z])", " ", token).lower())
+            found = _BOILERPLATE.intersection(words)
+            if found and words[0] not in _HAVING and "layout" not in words and not (found == {"header"} and _OWN.intersection(words)):
                 return True
     return False
 
@@ -85,6 +102,42 @@ def _ends(tokens: list[tuple]) -> dict[int, int]:
     return ends
 
 
+def _regions(tokens: list[tuple], ends: dict[int, int]) -> tuple[dict[int, int], list[int]]:
+    """Last token of each element that is boilerplate by its name or marks, and where the article or main region starts.
+
+    The region is any main, and the longest article unless it lies in boilerplate and has less text than the
+    rest of the page: then it is a card that leads elsewhere.
+    """
+    sizes = list(accumulate((len(t[1].strip()) if t[0] == "text" else 0 for t in tokens), initial=0))
+    stops = [k for k, t in enumerate(tokens) if t[0] == "open" and t[1] in (*_MAIN, "h1")] + [len(tokens)]
+    dropped: dict[int, int] = {}
+    starts, articles = [], []
+    for i, t in enumerate(tokens):
+        if t[0] != "open":
+            continue
+        name = t[1]
+        if name == "main":
+            starts.append(i)
+        elif name == "article":
+            articles.append((sizes[ends.get(i, len(tokens))] - sizes[i], -i))
+        elif name not in _VOID and name not in ("html", "body") and (name in _DROPPED or _marked(name, t[2])):
+            if i in ends:
+                dropped[i] = ends[i]
+            elif name in _DROPPED:
+                dropped[i] = stops[bisect_right(stops, i)] - 1
+    if articles:
+        most, at = max(articles)
+        free, until, inside = sizes[-1], -1, False
+        for i, end in dropped.items():
+            inside |= i < -at <= end
+            if end > until:
+                free -= sizes[end + 1] - sizes[max(i, until + 1)]
+                until = end
+        if not inside or most >= free:
+            starts.append(-at)
+    return dropped, sorted(starts)
+
+
 def lines(html: str) -> list[tuple[str, int]]:
     """A page's blocks in order, each with the text length that counts for it.
 
@@ -95,6 +148,7 @@ def lines(html: str) -> list[tuple[str, int]]:
     """
     tokens = _tokens(html)
     ends = _ends(tokens)
+    dropped, starts = _regions(tokens, ends)
     out: list[tuple[str, int, bool]] = []
     parts: list[str] = []
     links = anchored = main = heading = 0
@@ -130,21 +184,18 @@ def lines(html: str) -> list[tuple[str, int]]:
             elif name in _MAIN:
                 main += 1
                 mains.append(ends.get(i, mains[-1] if mains else len(tokens)))
-            elif name == "header" and main and i in ends and not _marked(t[2]):
+            elif name == "header" and main and i in ends and not _marked(name, t[2]):
                 head_until, heading = ends[i], 0
             elif name in _HEADINGS:
                 heading = 1
             if name in _VOID or name in ("html", "body"):
                 continue
-            if (name in _DROPPED and not (i <= head_until or name == "header" and main and i in ends)) or name not in _MAIN and _marked(t[2]):
-                end = ends.get(i)
-                if end is None and name in _DROPPED:
-                    end = next((k for k in range(i + 1, len(tokens)) if tokens[k][0] == "open" and tokens[k][1] in (*_MAIN, "h1")), len(tokens)) - 1
-                if end is not None:
-                    close()
-                    out += [("", 0, False)] * WINDOW
-                    links = anchored = 0
-                    i = end
+            end = dropped.get(i)
+            if end is not None and bisect_right(starts, i) == bisect_right(starts, end) and (name not in _DROPPED or not (i <= head_until or name == "header" and main and i in ends) or _marked(name, t[2])):
+                close()
+                out += [("", 0, False)] * WINDOW
+                links = anchored = 0
+                i = end
         else:
             if name == "a":
                 links = max(0, links - 1)

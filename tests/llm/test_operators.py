@@ -175,6 +175,20 @@ def test_html_article_region():
     assert html_text.main_text(f"<body><main></main><div><p>{long}</p></div></body>") == long
 
 
+def test_html_marks():
+    long = "A long paragraph of text that goes on and on, so that its block alone is enough to surge here."
+    inner = f'<p class="overflow-hidden">{long}</p><p title="a hidden gem">Gem.</p><p>See in all its length <a href="/hidden-city">the city</a> and <a data-id="ad-1" aria-hidden="false" href=/x>more</a>.</p><div class="article-header"><p>Lead.</p></div><h2 id="related-work">Work</h2>'
+    want = f"{long}\nGem.\nSee in all its length the city and more.\nLead.\nWork"
+    for page in (f"<article>{inner}</article>", f'<div class="page has-sidebar">{inner}<div class=sidebar>Side</div></div>'):
+        assert html_text.main_text(page) == want
+    for gone in ("<p hidden>x</p>", "<p style='display: none'>x</p>", "<p class='top ad-slot'>x</p>", "<p aria-hidden=true>x</p>"):
+        assert html_text.main_text(f"<article>{inner}{gone}</article>") == want
+    for wrapper in ('<div class="sidebar widget">', '<form id="aspnetForm">', '<div class="social">'):
+        for name in ("article", "main"):
+            page = f"<body><nav>Home</nav>{wrapper}<{name}>{inner}</{name}><aside>Side</aside></{wrapper[1:].split()[0]}><footer>(c)</footer></body>"
+            assert html_text.main_text(page) == want
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.text(alphabet="<>/pabdiv= \"'!-&;x\n", max_size=200))
 def test_html_never_fails(text):
