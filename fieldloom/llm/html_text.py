@@ -30,6 +30,7 @@ _INLINE = {
     "a", "abbr", "acronym", "b", "bdi", "bdo", "big", "br", "cite", "code", "data", "del", "dfn", "em", "font", "i", "img", "ins", "kbd", "label", "mark", "q", "s", "samp",
     "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var", "wbr",
 }
+_CONTAINERS = {"article", "center", "div", "form", "main", "section", "td"}
 _HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 #: Words of class, id and role attributes that mark what is not the article.
 _BOILERPLATE = {
@@ -138,18 +139,22 @@ def _regions(tokens: list[tuple], ends: dict[int, int]) -> tuple[dict[int, int],
     return dropped, sorted(starts)
 
 
-def lines(html: str) -> list[tuple[str, int]]:
-    """A page's blocks in order, each with the text length that counts for it.
+def lines(html: str) -> list[tuple[str, int, tuple[int, ...]]]:
+    """A page's blocks in order, each with the text length that counts for it and the containers around it.
 
     White space inside a block is one space. What is marked as boilerplate gives WINDOW empty lines in its
     place, so that a window dives there. Text of links does not count. Where the page marks its article,
     lines in it count SURGE more and lines outside it do not count. An article without an end tag goes on to
-    the end of what surrounds it; one without text, or inside boilerplate, marks nothing.
+    the end of what surrounds it; one without text, or inside boilerplate, marks nothing. Containers are given
+    by the places of their start tags, outermost first, and 0 for the page; one that holds no block of its own
+    is a block, not a container.
     """
     tokens = _tokens(html)
     ends = _ends(tokens)
     dropped, starts = _regions(tokens, ends)
-    out: list[tuple[str, int, bool]] = []
+    blocks = list(accumulate((t[0] == "open" and t[1] not in _INLINE and t[1] not in _VOID for t in tokens), initial=0))
+    around: list[tuple[int, int]] = [(len(tokens), 0)]
+    out: list[tuple[str, int, bool, tuple[int, ...]]] = []
     parts: list[str] = []
     links = anchored = main = heading = 0
     head_until = -1
@@ -160,7 +165,7 @@ def lines(html: str) -> list[tuple[str, int]]:
         text = _SPACE.sub(" ", unescape("".join(parts))).strip()
         if text:
             counted = max(0, len(text) - anchored) if anchored * 2 < len(text) or main else 0
-            out.append((text, counted + SURGE * bool(main), bool(main)))
+            out.append((text, counted + SURGE * bool(main), bool(main), tuple(k for _, k in around)))
         parts.clear()
         anchored = 0
 
@@ -178,6 +183,8 @@ def lines(html: str) -> list[tuple[str, int]]:
             close()
         elif name in ("br", "img"):
             parts.append(" ")
+        while i >= around[-1][0]:
+            around.pop()
         if t[0] == "open":
             if name == "a":
                 links += 1
@@ -193,9 +200,11 @@ def lines(html: str) -> list[tuple[str, int]]:
             end = dropped.get(i)
             if end is not None and bisect_right(starts, i) == bisect_right(starts, end) and (name not in _DROPPED or not (i <= head_until or name == "header" and main and i in ends) or _marked(name, t[2])):
                 close()
-                out += [("", 0, False)] * WINDOW
+                out += [("", 0, False, ())] * WINDOW
                 links = anchored = 0
                 i = end
+            elif name in _CONTAINERS and i in ends and blocks[ends[i]] > blocks[i + 1]:
+                around.append((min(ends[i], around[-1][0]), i))
         else:
             if name == "a":
                 links = max(0, links - 1)
@@ -204,10 +213,10 @@ def lines(html: str) -> list[tuple[str, int]]:
             while mains and i >= mains[-1]:
                 mains.pop()
                 main -= 1
-                out += [("", 0, False)] * WINDOW
+                out += [("", 0, False, ())] * WINDOW
     close()
-    marked_main = any(m for _, _, m in out)
-    return [(text, n if m or not marked_main else 0) for text, n, m in out]
+    marked_main = any(x[2] for x in out)
+    return [(text, n if m or not marked_main else 0, where) for text, n, m, where in out]
 
 
 def main_text(html: str | None) -> str:
@@ -215,24 +224,27 @@ def main_text(html: str | None) -> str:
 
     A window is WINDOW lines from a line on. Text starts at a line whose window holds more than SURGE
     characters and goes on until one that starts with an empty line holds less than DIVE; a page may surge
-    more than once. A page
-    without a surge gives its longest run of lines that count. Null or empty html gives "".
+    more than once. Where a container has given text, later lines in it that count go on with it: what was
+    removed or does not count between them ends nothing. A page without a surge gives its longest run of lines
+    that count. Null or empty html gives "".
     """
     page = lines(html) if html else []
-    size = [n for _, n in page] + [0] * WINDOW
+    size = [n for _, n, _ in page] + [0] * WINDOW
     sums = [sum(size[i : i + WINDOW]) for i in range(len(page))]
     kept: list[str] = []
     inside = False
-    for (text, n), total in zip(page, sums, strict=True):
+    given: set[int] = set()
+    for (text, n, where), total in zip(page, sums, strict=True):
         if not inside and total > SURGE and n:
             inside = True
         if inside and total < DIVE and not n:
             inside = False
-        if inside and text and n:
+        if text and n and (inside or where[-1] in given or not given.isdisjoint(where[1:])):
             kept.append(text)
+            given.add(where[-1])
     if not kept:
         run: list[str] = []
-        for text, n in [*page, ("", 0)]:
+        for text, n, _ in [*page, ("", 0, ())]:
             if n:
                 run.append(text)
                 continue

@@ -189,6 +189,18 @@ def test_html_marks():
             assert html_text.main_text(page) == want
 
 
+def test_html_after_boilerplate():
+    long = "A long paragraph of text that goes on and on, so that its block alone is enough to surge here."
+    ad, links = "<div class=ad>Buy <b>now</b></div>", "<ul><li><a href=/1>One</a></li></ul><p><a href=/2>Another story</a></p><p><a href=/3>Third</a></p>"
+    assert html_text.main_text(f"<body><p>{long}</p>{ad}<p>Short closing line.</p><footer>(c)</footer></body>") == f"{long}\nShort closing line."
+    for gap in (ad, "<aside>Read more</aside>", "<form><input></form>", links):
+        for p, q in (("<p>", "</p>"), ("<div>", "</div>")):
+            page = f"<body><div>{p}{long}{q}{gap}<h2>Sub</h2>{gap}<section><ul><li>One thing</li><li>Two</li></ul></section>{gap}{p}{long}{q}{gap}{p}The end.{q}</div><div><p>Imprint</p><p>Terms</p></div></body>"
+            assert html_text.main_text(page).startswith(f"{long}\nSub\nOne thing\nTwo\n{long}\nThe end.")
+    assert html_text.main_text(f"<body><div><p>{long}</p>{ad}</div><div><p>Imprint</p><p>Terms</p></div></body>") == long
+    assert html_text.main_text(f"<article><p>{long}</p>{ad}<p><a href=/x>Source</a></p></article>") == f"{long}\nSource"
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.text(alphabet="<>/pabdiv= \"'!-&;x\n", max_size=200))
 def test_html_never_fails(text):
