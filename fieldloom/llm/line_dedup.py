@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -43,23 +42,33 @@ def names(ids: np.ndarray, starts: np.ndarray) -> Iterator[tuple[int, np.ndarray
         at, k = can, k + 1
 
 
-def covered(blocks: list[tuple], words: dict[int, int], least: int) -> list[int]:
-    """Lines of a document that lie in a later copy of a run of at least `least` words.
+def windows(ids: np.ndarray, starts: np.ndarray, words: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First line, size and name of each shortest run of adjacent lines with `least` words, from each line on and up to each line.
 
-    `blocks`: (k, place, first document, its hash, first place) for each block of 2**k lines that occurs
-    earlier. Blocks at successive places whose first occurrences are successive as well form one run.
+    Whatever run of `least` words occurs earlier, these windows of it occur earlier at the same distance, and
+    they cover it: each of its lines begins a window inside it or lies in the one that ends with it. Where a
+    window ends depends on its lines alone, so every occurrence of it is named. The name of a window is made
+    of its size and the names of the 2**k lines at its two ends, which overlap or meet.
     """
-    out: set[int] = set()
-    for k, rows in groupby(sorted(blocks), key=lambda b: b[0]):
-        run: list[tuple] = []
-        for b in [*rows, None]:
-            if run and (b is None or b[1] != run[-1][1] + 1 or b[2:4] != run[-1][2:4] or b[4] != run[-1][4] + 1):
-                places = range(run[0][1], run[-1][1] + (1 << k))
-                if sum(words[p] for p in places) >= least:
-                    out.update(places)
-                run = []
-            run.append(b)
-    return sorted(out)
+    total = np.concatenate([[0], np.cumsum(words)])
+    n, at = len(ids), np.arange(len(ids))
+    first = np.concatenate([at, np.searchsorted(total, total[1:] - least, "right") - 1])
+    end = np.concatenate([np.searchsorted(total, total[:-1] + least), at + 1])
+    can = (first >= 0) & (end <= n)
+    first, end = np.divmod(np.unique(first[can] * (n + 1) + end[can]), n + 1)
+    can = starts[end - 1] - starts[first] == end - first - 1
+    first, size = first[can], (end - first)[can]
+    level = np.log2(size).astype(np.int64)
+    out = np.zeros(len(first), np.uint64)
+    for k, at, name in names(ids, starts):
+        if k > level.max(initial=-1):
+            break
+        here = level == k
+        place = np.full(n, -1)
+        place[at] = np.arange(len(at))
+        head, tail = place[first[here]], place[(first + size)[here] - (1 << k)]
+        out[here] = mix(name[head] * np.uint64(3) + mix(name[tail] + size[here].astype(np.uint64) * np.uint64(_STEP)))
+    return first, size, out
 
 
 def _nonblank(text: Column) -> Column:
@@ -70,9 +79,9 @@ def deletions(docs: DataFrame, scratch: Scratch, least: int = MIN_WORDS) -> Data
     """(doc, hash, gone): per document with repeated runs the numbers of the lines, from 0, that go.
 
     Line ids are 64-bit hashes of the lines without white space around them. Lines that occur once end
-    every run, so only lines that occur twice or more are dealt out by document; each document names all
-    its blocks of 2**k adjacent such lines, and one aggregation finds the first occurrence of each name in
-    order of (doc_id, text hash, place). Lines and names are counted map-side first; the counts are written,
+    every run, so only lines that occur twice or more are dealt out by document; each document names its
+    windows of adjacent such lines, and one aggregation finds the first occurrence of each name in order of
+    (doc_id, text hash, place). Lines and names are counted map-side first; the counts are written,
     so that in the joins back a hot line or name can be split.
     """
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
@@ -89,27 +98,27 @@ def deletions(docs: DataFrame, scratch: Scratch, least: int = MIN_WORDS) -> Data
             out: list[list] = [[], [], [], [], []]
             for doc, h, rows in zip(*(c.to_pylist() for c in part.columns), strict=True):
                 places = np.array([r["place"] for r in rows], np.int64)
-                for k, at, values in names(np.array([r["id"] for r in rows], np.int64), places):
-                    n = len(at)
-                    for column, value in zip(out, ([doc] * n, [h] * n, places[at].tolist(), [k] * n, values.view(np.int64).tolist()), strict=True):
-                        column += value
+                at, size, values = windows(np.array([r["id"] for r in rows], np.int64), places, np.array([r["words"] for r in rows], np.int64), least)
+                n = len(at)
+                for column, value in zip(out, ([doc] * n, [h] * n, places[at].tolist(), size.tolist(), values.view(np.int64).tolist()), strict=True):
+                    column += value
             types = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types, strict=True)], names=["doc", "hash", "place", "k", "name"])
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types, strict=True)], names=["doc", "hash", "place", "size", "name"])
 
-    blocks = scratch.keep(runs.mapInArrow(name, "doc long, hash long, place int, k int, name long"), "blocks")
+    blocks = scratch.keep(runs.mapInArrow(name, "doc long, hash long, place int, size int, name long"), "blocks")
     order = F.struct(F.col("doc").isNull().alias("last"), "doc", "hash", "place")
     first = scratch.keep(blocks.groupBy("name").agg(F.count("*").alias("n"), F.min(order).alias("first")).filter("n > 1").select("name", "first"), "first")
     later = blocks.join(first, "name").filter(F.col("first") < order)
-    gathered = later.groupBy(F.col("doc").alias(_ID), F.col("hash").alias(_HASH)).agg(F.collect_list(F.struct("k", "place", "first.doc", "first.hash", F.col("first.place").alias("at"))).alias("blocks"))
+    gathered = later.groupBy(F.col("doc").alias(_ID), F.col("hash").alias(_HASH)).agg(F.collect_list(F.struct("place", "size")).alias("blocks"))
     same = gathered[_ID].eqNullSafe(runs[_ID]) & (gathered[_HASH] == runs[_HASH])
-    joined = gathered.join(runs, same).select(gathered[_ID], gathered[_HASH], "blocks", F.transform("lines", lambda x: F.struct(x["place"].alias("place"), x["line"].alias("line"), x["words"].alias("words"))).alias("lines"))
+    joined = gathered.join(runs, same).select(gathered[_ID], gathered[_HASH], "blocks", F.transform("lines", lambda x: F.struct(x["place"].alias("place"), x["line"].alias("line"))).alias("lines"))
 
     def decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):
             gone = []
             for found, rows in zip(part.column(2).to_pylist(), part.column(3).to_pylist(), strict=True):
                 line = {r["place"]: r["line"] for r in rows}
-                places = covered([(b["k"], b["place"], b["doc"] or 0, b["hash"], b["at"]) for b in found], {r["place"]: r["words"] for r in rows}, least)
+                places = sorted({p for b in found for p in range(b["place"], b["place"] + b["size"])})
                 gone.append([line[p] for p in places])
             yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(gone, pa.list_(pa.int32()))], names=[_ID, _HASH, "gone"])
 

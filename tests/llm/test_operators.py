@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -247,6 +248,27 @@ def test_lines_brute(spark):
     assert got[top + 2]["text"] == "intro of it.\n\noutro of it." and got[top + 3]["text"] == "" and got[top + 1]["n_deleted"] == 0
 
 
+def test_lines_every_run(spark):
+    rng = random.Random(4)
+    pool = [" ".join(f"w{i}" for _ in range(1 + i % 5)) for i in range(7)]
+    draw = lambda n: [rng.choice([*pool, *pool, "", f"only {rng.random()} here"]) for _ in range(n)]
+    docs = [(0, "\n".join(["l a b c", "m a b c"])), *[(i, "\n".join(["l a b c", "m a b c", "n a b c"])) for i in (1, 2)], *[(i, "\n".join(draw(rng.randrange(1, 25)))) for i in range(3, 60)]]
+    got = rows(line_dedup.line_dedup(spark.createDataFrame(docs, "doc_id long, text string")))
+    assert got[1]["n_deleted"] == 0 and got[2]["text"] == ""
+    seen: set[tuple] = set()
+    for i, text in docs:
+        kept = [(k, x) for k, x in enumerate(text.split("\n")) if x]
+        gone: set[int] = set()
+        for a in range(len(kept)):
+            runs = [kept[a:b] for b in range(a + 1, len(kept) + 1)]
+            for run in runs:
+                if tuple(x for _, x in run) in seen and sum(len(x.split()) for _, x in run) >= 10:
+                    gone |= {k for k, _ in run}
+            seen |= {tuple(x for _, x in run) for run in runs}
+        assert got[i]["n_deleted"] == len(gone)
+        assert got[i]["text"] == ("" if gone and len(gone) == len(kept) else "\n".join(x for k, x in enumerate(text.split("\n")) if k not in gone))
+
+
 def test_names():
     ids, places = np.array([5, 6, 5, 6, 7]), np.array([0, 1, 2, 3, 5])
     got = {k: (at.tolist(), name) for k, at, name in line_dedup.names(ids, places)}
