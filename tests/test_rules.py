@@ -11,6 +11,7 @@ from fieldloom import schema
 from fieldloom.functions.text import html_to_text, iso_date, number, strip
 from fieldloom.operators import validate
 from fieldloom.operators.merge import merge_sources
+from fieldloom.plans import queries
 
 AS_OF = "2025-06-15"
 
@@ -99,3 +100,13 @@ def test_score_grows_with_confidence(spark, cs):
     for column in (validate.check_percent(F.col("value"), F.col("c")), validate.check_currency(F.col("value"), F.col("c"), F.lit(None), F.lit("USD"))):
         scores = [s for s, _ in verdicts(spark, rows, "value string, c double", column)]
         assert scores == sorted(scores)
+
+
+def test_all_entities_in_pivot(spark):
+    d = "/root/testdata/sf0.001"
+    rows = queries.q17_field_entity_pivot(spark, d).collect()
+    ids = {r[0] for r in spark.read.parquet(f"{d}/events.parquet").select("user_id").distinct().collect()}
+    assert {(r["field"], r["entity_id"]) for r in rows} == {(f, i) for f in queries.EVENT_FIELDS for i in ids} and len(rows) == 5 * len(ids) > 25
+    for field in queries.EVENT_FIELDS:
+        scores = [float(r["score"]) for r in rows if r["field"] == field]
+        assert [r["avg_score"] for r in rows if r["field"] == field] == pytest.approx([sum(scores) / len(scores)] * len(ids), abs=1e-5)
