@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -110,3 +112,9 @@ def test_all_entities_in_pivot(spark):
     for field in queries.EVENT_FIELDS:
         scores = [float(r["score"]) for r in rows if r["field"] == field]
         assert [r["avg_score"] for r in rows if r["field"] == field] == pytest.approx([sum(scores) / len(scores)] * len(ids), abs=1e-5)
+
+
+def test_routes_whole_texts(spark):
+    d = "/root/testdata/sf0.001"
+    whole = {r["text_md5"] for r in queries.q01_html_text(spark, d).collect()} | {hashlib.md5(b"").hexdigest()}
+    assert {r["text_md5"] for r in queries.q05_route_fallback(spark, d).collect()} <= whole
