@@ -118,3 +118,10 @@ def test_routes_whole_texts(spark):
     d = "/root/testdata/sf0.001"
     whole = {r["text_md5"] for r in queries.q01_html_text(spark, d).collect()} | {hashlib.md5(b"").hexdigest()}
     assert {r["text_md5"] for r in queries.q05_route_fallback(spark, d).collect()} <= whole
+
+
+def test_preview_of_all_documents(spark, tmp_path):
+    spark.createDataFrame([(3, "three"), (4, "four")], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(3,), (4,), (5,)], "doc_id long").write.parquet(f"{tmp_path}/labels.parquet")
+    got = {r["entity_id"]: r["preview_md5"] for r in queries.q20_value_preview(spark, str(tmp_path)).collect()}
+    assert got == {i: hashlib.md5(x.encode()).hexdigest() for i, x in ((3, "three"), (4, "four"), (5, "—"))}
