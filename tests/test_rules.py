@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import html
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -10,7 +11,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from fieldloom import schema
-from fieldloom.functions.text import html_to_text, iso_date, number, strip
+from fieldloom.functions.text import html_to_text, iso_date, number, strip, unescaped
 from fieldloom.operators import validate
 from fieldloom.operators.merge import merge_sources
 from fieldloom.plans import queries
@@ -125,3 +126,12 @@ def test_preview_of_all_documents(spark, tmp_path):
     spark.createDataFrame([(3,), (4,), (5,)], "doc_id long").write.parquet(f"{tmp_path}/labels.parquet")
     got = {r["entity_id"]: r["preview_md5"] for r in queries.q20_value_preview(spark, str(tmp_path)).collect()}
     assert got == {i: hashlib.md5(x.encode()).hexdigest() for i, x in ((3, "three"), (4, "four"), (5, "—"))}
+
+
+def test_all_character_references(spark):
+    pages = ["<p>caf&eacute; &#8217;x&#x2019; &uuml;ber &hellip;</p>", "<p>a &amp;eacute; &lt;b&gt; &copy; c</p>", "<p>&eacute;</p>" * 9000, None]
+    got = [r[0] for r in spark.createDataFrame([(i, x) for i, x in enumerate(pages)], "i int, x string").select("i", html_to_text(F.col("x")).alias("t")).orderBy("i").select("t").collect()]
+    assert got == ["café ’x’ über …", "a &eacute; <b> © c", ("é " * 9000)[:8000], None]
+    odd = ["&notit; &notin; &copyx &amp;lt; &zzz; & &#; &#x; &#0; &#128; &#xD800; &#99999999999; &#x1F600;y &#0065 &NotEqualTilde; &AMP&&lt", "&eacute", "", "a&b"]
+    got = spark.createDataFrame([(x,) for x in odd], "x string").select("x", unescaped(F.col("x")).alias("t")).collect()
+    assert all(r["t"] == html.unescape(r["x"]) for r in got)
