@@ -23,6 +23,17 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with marks before it until no column of `df` has it (in any case)."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 class Scratch:
     """Tables written once and read again, in the folder that `spark.checkpoint.dir` names.
 

@@ -1,159 +1,149 @@
-"""Repeated line runs, found by prefix doubling over line-id sequences; later copies are deleted."""
+"""Repeated line runs: suffix ranks by distributed prefix doubling, intervals of common prefixes, later copies deleted."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fieldloom.llm.common import Scratch, mix, slices
+from fieldloom.llm.common import Scratch, unused
 from fieldloom.llm.quality import let
 
-PREFIX = "__line_"
-_ID, _HASH = f"{PREFIX}doc", f"{PREFIX}hash"
 #: Words of a repeated run from which its later copies go.
 MIN_WORDS = 10
-_STEP = 0x9E3779B97F4A7C15
+_KEY = ["doc", "hash"]
+
+
+def _lines(text: Column) -> Column:
+    """The non-blank lines of a text as (id, words): a 64-bit hash without white space around, and a count."""
+    inner = lambda x: F.regexp_replace(x, r"^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$", "")
+    shape = lambda x: F.struct(F.xxhash64(inner(x)).alias("id"), F.size(F.array_remove(F.split(x, r"[\x20\x09-\x0D]+"), "")).alias("words"))
+    return F.filter(F.transform(F.split(text, "\n"), shape), lambda x: x["words"] > 0)
 
 
-def names(ids: np.ndarray, starts: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """Prefix doubling: for k = 0, 1, ... the places whose next 2**k lines are adjacent, and those lines' name.
+def _ahead(column: str, n: int, window) -> Column:
+    """`column` of the line `n` places on, null unless the lines between are all there."""
+    return F.when(F.lead("place", n).over(window) == F.col("place") + n, F.lead(column, n).over(window)) if n else F.col(column)
 
-    The name of 2**(k+1) lines is made of the names of their two halves, so equal names are equal ranks of
-    the suffixes cut at that length. `starts` are the lines' places in the document.
+
+def _sized(lines: DataFrame, least: int) -> DataFrame:
+    """`lines` with `low` and `high`: a run of `low` to `high` lines from this one on decides about it.
+
+    `low` lines are the fewest with `least` words. `high` is the most lines that hold fewer than `least`
+    words without the first, so that these runs are also the shortest ones that end at each line. No
+    decided run has more than `least` lines, as each holds a word. Null `low`: too few words follow.
+    """
+    w = Window.partitionBy(*_KEY).orderBy("place")
+    low, high = F.lit(None).cast("int"), F.lit(1)
+    total = [F.col("words")]
+    for n in range(1, least):
+        total.append(total[-1] + F.col("ahead")[n - 1])  # null from the first missing line on
+    for n in reversed(range(least)):
+        low = F.when(total[n] >= least, n + 1).otherwise(low)
+    for n in range(1, least):
+        high = F.when(total[n] - F.col("words") < least, n + 1).otherwise(high)
+    return lines.withColumn("ahead", F.array(*[_ahead("words", n, w) for n in range(1, least)])).withColumns({"low": low, "high": F.greatest(low, high)}).drop("ahead", "words")
+
+
+def _runs(ranks: DataFrame, level: int, most: int) -> DataFrame:
+    """(doc, hash, place, size, a, b) of the runs to decide that have 2**level lines or more, fewer than twice as many, and `most`.
+
+    Two runs of one size are equal if the suffixes they start agree in rank a of their first 2**level lines,
+    and those that start 2**level lines before their ends agree in rank b.
     """
-    name = mix(ids.view(np.uint64))
-    at, k = np.arange(len(ids)), 0
-    while len(at):
-        yield k, at, name
-        half = 1 << k
-        width = 2 * half
-        can = at[at + width - 1 < len(ids)]
-        can = can[starts[can + width - 1] - starts[can] == width - 1]
-        if not len(can):
-            return
-        place = np.full(len(ids), -1)
-        place[at] = np.arange(len(at))
-        first, second = place[can], place[can + half]
-        name = mix(name[first] * np.uint64(3) + mix(name[second] + np.uint64(_STEP * (k + 1) % 2**64)))
-        at, k = can, k + 1
-
-
-def windows(ids: np.ndarray, starts: np.ndarray, words: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """First line, size and name of each shortest run of adjacent lines with `least` words, from each line on and up to each line.
-
-    Whatever run of `least` words occurs earlier, these windows of it occur earlier at the same distance, and
-    they cover it: each of its lines begins a window inside it or lies in the one that ends with it. Where a
-    window ends depends on its lines alone, so every occurrence of it is named. The name of a window is made
-    of its size and the names of the 2**k lines at its two ends, which overlap or meet.
+    half = 2**level
+    w = Window.partitionBy(*_KEY).orderBy("place")
+    ends = F.array(*[_ahead("rank", n, w) for n in range(min(half, most - half + 1))])
+    named = ranks.withColumn("ends", ends).filter(f"low <= high AND low < {2 * half} AND high >= {half}")
+    sizes = F.sequence(F.greatest("low", F.lit(half)), F.least("high", F.lit(2 * half - 1)))
+    out = named.select(*_KEY, "place", F.explode(sizes).alias("size"), F.col("rank").alias("a"), "ends")
+    return out.select(*_KEY, "place", "size", "a", F.get("ends", F.col("size") - half).alias("b")).filter("b IS NOT NULL")
+
+
+def _doubled(ranks: DataFrame, level: int, scratch: Scratch) -> DataFrame:
+    """From ranks of suffixes by their first 2**level lines to ranks by twice as many.
+
+    The pair of a suffix's rank and that of the suffix 2**level lines on orders it by both. Pairs are counted
+    map-side first, those that occur twice or more are sorted over all partitions, and the row number in that
+    order is the new rank: numbers grow from partition to partition, so they need not be dense. A suffix
+    whose pair occurs once, or runs past the last repeated line, agrees with no other and is dropped.
     """
-    total = np.concatenate([[0], np.cumsum(words)])
-    n, at = len(ids), np.arange(len(ids))
-    first = np.concatenate([at, np.searchsorted(total, total[1:] - least, "right") - 1])
-    end = np.concatenate([np.searchsorted(total, total[:-1] + least), at + 1])
-    can = (first >= 0) & (end <= n)
-    first, end = np.divmod(np.unique(first[can] * (n + 1) + end[can]), n + 1)
-    can = starts[end - 1] - starts[first] == end - first - 1
-    first, size = first[can], (end - first)[can]
-    level = np.log2(size).astype(np.int64)
-    out = np.zeros(len(first), np.uint64)
-    for k, at, name in names(ids, starts):
-        if k > level.max(initial=-1):
-            break
-        here = level == k
-        place = np.full(n, -1)
-        place[at] = np.arange(len(at))
-        head, tail = place[first[here]], place[(first + size)[here] - (1 << k)]
-        out[here] = mix(name[head] * np.uint64(3) + mix(name[tail] + size[here].astype(np.uint64) * np.uint64(_STEP)))
-    return first, size, out
-
-
-def _nonblank(text: Column) -> Column:
-    return F.filter(F.split(text, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
+    w = Window.partitionBy(*_KEY).orderBy("place")
+    pairs = scratch.keep(ranks.withColumn("next", _ahead("rank", 2**level, w)).filter("next IS NOT NULL"), f"pairs-{level}")
+    often = pairs.groupBy("rank", "next").count().filter("count > 1").select("rank", "next")
+    order = often.repartitionByRange("rank", "next").sortWithinPartitions("rank", "next")
+    order = scratch.keep(order.withColumn("new", F.monotonically_increasing_id()), f"order-{level}")
+    return scratch.keep(pairs.join(order, ["rank", "next"]).select(*_KEY, "place", F.col("new").alias("rank"), "low", "high"), f"ranks-{level + 1}")
 
 
 def deletions(docs: DataFrame, scratch: Scratch, least: int = MIN_WORDS) -> DataFrame:
-    """(doc, hash, gone): per document with repeated runs the numbers of the lines, from 0, that go.
-
-    Line ids are 64-bit hashes of the lines without white space around them. Lines that occur once end
-    every run, so only lines that occur twice or more are dealt out by document; each document names its
-    windows of adjacent such lines, and one aggregation finds the first occurrence of each name in order of
-    (doc_id, text hash, place). Lines and names are counted map-side first; the counts are written,
-    so that in the joins back a hot line or name can be split.
+    """(doc, hash, gone): per document with repeated runs the numbers of the non-blank lines, from 0, that go.
+
+    Suffixes of the corpus's line sequences are ranked by prefix doubling: level 0 orders them by their first
+    line's id, and each round by twice as many lines. Lines that occur once end every run, so their suffixes
+    have no rank. The suffixes that agree in their first n lines are an interval of the suffix array whose
+    common prefix has at least n lines; two ranks name it. Its first suffix, in order of (doc_id, text hash,
+    place), is the copy that stays, and the others' n lines go. A maximal repeated run longer than `least`
+    lines is the union of such runs, as each window of it is repeated too: so intervals are read off only at
+    the sizes of `_sized`, and log2(least) rounds do for runs of any length.
     """
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    key = [F.col("doc_id").cast("long").alias(_ID), F.xxhash64(text).alias(_HASH)]
-    shape = lambda x, i: F.struct(i.alias("line"), F.xxhash64(F.regexp_replace(x, r"^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$", "")).alias("id"), F.size(F.array_remove(F.split(x, r"[\x20\x09-\x0D]+"), "")).alias("words"))
-    lines = docs.select(*key, F.posexplode(F.filter(F.transform(F.split(text, "\n"), shape), lambda x: x["words"] > 0)).alias("place", "x")).select(_ID, _HASH, "place", "x.line", "x.id", "x.words")
+    key = [F.col("doc_id").cast("long").alias("doc"), F.xxhash64(text).alias("hash")]
+    lines = docs.select(*key, F.posexplode(_lines(text)).alias("place", "x")).select(*_KEY, "place", F.col("x.id").alias("rank"), "x.words")
     lines = scratch.keep(lines, "lines")
-    often = scratch.keep(lines.groupBy("id").count().filter("count > 1").select("id"), "often")
-    runs = lines.join(often, "id", "left_semi").groupBy(_ID, _HASH).agg(F.sort_array(F.collect_set(F.struct("place", "line", "id", "words"))).alias("lines"))
+    often = scratch.keep(lines.groupBy("rank").count().filter("count > 1").select("rank"), "often")
+    repeated = lines.join(often, "rank", "left_semi").dropDuplicates([*_KEY, "place"])
+    ranks = scratch.keep(_sized(repeated, least).select(*_KEY, "place", "rank", "low", "high"), "ranks-0")
+    runs, level = None, 0
+    while 2**level <= least:
+        found = _runs(ranks, level, least)
+        runs = found if runs is None else runs.union(found)
+        level += 1
+        if 2**level <= least:
+            ranks = _doubled(ranks, level - 1, scratch)
     runs = scratch.keep(runs, "runs")
-
-    def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches):
-            out: list[list] = [[], [], [], [], []]
-            for doc, h, rows in zip(*(c.to_pylist() for c in part.columns), strict=True):
-                places = np.array([r["place"] for r in rows], np.int64)
-                at, size, values = windows(np.array([r["id"] for r in rows], np.int64), places, np.array([r["words"] for r in rows], np.int64), least)
-                n = len(at)
-                for column, value in zip(out, ([doc] * n, [h] * n, places[at].tolist(), size.tolist(), values.view(np.int64).tolist()), strict=True):
-                    column += value
-            types = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types, strict=True)], names=["doc", "hash", "place", "size", "name"])
-
-    blocks = scratch.keep(runs.mapInArrow(name, "doc long, hash long, place int, size int, name long"), "blocks")
     order = F.struct(F.col("doc").isNull().alias("last"), "doc", "hash", "place")
-    first = scratch.keep(blocks.groupBy("name").agg(F.count("*").alias("n"), F.min(order).alias("first")).filter("n > 1").select("name", "first"), "first")
-    later = blocks.join(first, "name").filter(F.col("first") < order)
-    gathered = later.groupBy(F.col("doc").alias(_ID), F.col("hash").alias(_HASH)).agg(F.collect_list(F.struct("place", "size")).alias("blocks"))
-    same = gathered[_ID].eqNullSafe(runs[_ID]) & (gathered[_HASH] == runs[_HASH])
-    joined = gathered.join(runs, same).select(gathered[_ID], gathered[_HASH], "blocks", F.transform("lines", lambda x: F.struct(x["place"].alias("place"), x["line"].alias("line"))).alias("lines"))
-
-    def decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches):
-            gone = []
-            for found, rows in zip(part.column(2).to_pylist(), part.column(3).to_pylist(), strict=True):
-                line = {r["place"]: r["line"] for r in rows}
-                places = sorted({p for b in found for p in range(b["place"], b["place"] + b["size"])})
-                gone.append([line[p] for p in places])
-            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(gone, pa.list_(pa.int32()))], names=[_ID, _HASH, "gone"])
+    name = ["size", "a", "b"]
+    first = scratch.keep(runs.groupBy(*name).agg(F.count("*").alias("n"), F.min(order).alias("first")).filter("n > 1").select(*name, "first"), "first")
+    later = runs.join(first, name).filter(F.col("first") < order)
+    gone = later.groupBy(*_KEY, "place").agg(F.max("size").alias("size"))
+    gone = gone.groupBy(*_KEY).agg(F.collect_list(F.sequence("place", F.col("place") + F.col("size") - 1)).alias("gone"))
+    return scratch.keep(gone.select(*_KEY, F.array_sort(F.array_distinct(F.flatten("gone"))).alias("gone")), "gone")
 
-    gone = joined.mapInArrow(decide, f"{_ID} long, {_HASH} long, gone array<int>").filter("size(gone) > 0")
-    return scratch.keep(gone, "gone")
 
-
-def dedup(docs: DataFrame, scratch: Scratch | None = None, least: int = MIN_WORDS) -> DataFrame:
-    """`docs` with text without later copies of repeated runs, and `__line_n`, `__line_gone` (non-blank lines, and those deleted).
+def dedup(docs: DataFrame, scratch: Scratch | None = None, least: int = MIN_WORDS) -> tuple[DataFrame, str, str]:
+    """`docs` with text without later copies of repeated runs, and the names of two columns: non-blank lines, and those deleted.
 
     A run is one or more adjacent non-blank lines that occur, in the same order, earlier: in a document of
     smaller doc_id (null last; equal ids by text hash) or before in the same one. Runs of fewer than
     `least` words stay. Blank lines stay where they are, unless every other line goes: then text is "".
-    Rows equal in doc_id and text are one document. Null and empty texts stay as they are; other columns
-    are kept; an empty table stays empty.
+    Rows equal in doc_id and text are one document. Null and empty texts stay as they are; texts of any
+    length are read whole; other columns are kept, whatever their names; an empty table stays empty.
     """
     scratch = scratch or Scratch(docs.sparkSession, "lines")
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    gone = deletions(docs, scratch, least)
-    keyed = docs.withColumns({_ID: F.col("doc_id").cast("long"), _HASH: F.xxhash64(text)})
-    keys = gone.select(F.col(_ID).alias(f"{PREFIX}i"), F.col(_HASH).alias(f"{PREFIX}h"), F.col("gone").alias(f"{PREFIX}places"))
-    joined = keyed.join(keys, keyed[_ID].eqNullSafe(keys[f"{PREFIX}i"]) & (keyed[_HASH] == keys[f"{PREFIX}h"]), "left").drop(f"{PREFIX}i", f"{PREFIX}h", _ID, _HASH)
-    gone_lines = F.col(f"{PREFIX}places")
-    n, n_gone = F.size(_nonblank(text)).cast("long"), F.coalesce(F.size(gone_lines), F.lit(0)).cast("long")
-    rest = let(F.split(text, "\n"), lambda x: F.array_join(F.transform(F.array_except(F.sequence(F.lit(0), F.size(x) - 1), gone_lines), lambda i: F.get(x, i)), "\n"))
-    joined = joined.withColumns({f"{PREFIX}n": n, f"{PREFIX}gone": n_gone})
-    left = F.when(gone_lines.isNull(), F.col("text")).when(F.col(f"{PREFIX}gone") >= F.col(f"{PREFIX}n"), "").otherwise(rest)
-    return joined.withColumn("text", left).drop(f"{PREFIX}places")
+    doc, hash_, n, n_gone, places, i, h = unused(docs, "doc", "hash", "n", "n_gone", "places", "i", "h")
+    keyed = docs.withColumns({doc: F.col("doc_id").cast("long"), hash_: F.xxhash64(text)})
+    keys = deletions(docs, scratch, least).select(F.col("doc").alias(i), F.col("hash").alias(h), F.col("gone").alias(places))
+    joined = keyed.join(keys, F.col(doc).eqNullSafe(F.col(i)) & (F.col(hash_) == F.col(h)), "left").drop(i, h, doc, hash_)
+    full = lambda x: x.rlike(r"[^\x20\x09-\x0D]")
+
+    def rest(all_: Column) -> Column:
+        numbers = F.filter(F.transform(all_, lambda x, k: F.when(full(x), k)), lambda k: k.isNotNull())
+        gone = let(numbers, lambda at: F.transform(F.col(places), lambda p: F.get(at, p)))
+        return F.array_join(F.transform(F.array_except(F.sequence(F.lit(0), F.size(all_) - 1), gone), lambda k: F.get(all_, k)), "\n")
+
+    joined = joined.withColumns({n: F.size(F.filter(F.split(text, "\n"), full)).cast("long"), n_gone: F.coalesce(F.size(places), F.lit(0)).cast("long")})
+    left = F.when(F.col(places).isNull(), F.col("text")).when(F.col(n_gone) >= F.col(n), "").otherwise(let(F.split(text, "\n"), rest))
+    return joined.withColumn("text", left).drop(places), n, n_gone
 
 
 def line_dedup(docs: DataFrame, scratch: Scratch | None = None) -> DataFrame:
     """One row per document: doc_id, text without later copies, n_lines and n_deleted (non-blank lines). See `dedup`."""
-    return dedup(docs.select("doc_id", "text"), scratch).select("doc_id", "text", F.col(f"{PREFIX}n").alias("n_lines"), F.col(f"{PREFIX}gone").alias("n_deleted"))
+    out, n, n_gone = dedup(docs.select("doc_id", "text"), scratch)
+    return out.select("doc_id", "text", F.col(n).alias("n_lines"), F.col(n_gone).alias("n_deleted"))
 
 
 def keep_first(docs: DataFrame, scratch: Scratch | None = None) -> DataFrame:
     """`docs` without later copies; documents of which nothing is left are gone. Columns stay as they are."""
-    return dedup(docs, scratch).filter(f"{PREFIX}gone < {PREFIX}n OR {PREFIX}n = 0").select(*docs.columns)
+    out, n, n_gone = dedup(docs, scratch)
+    return out.filter((F.col(n_gone) < F.col(n)) | (F.col(n) == 0)).select(*docs.columns)

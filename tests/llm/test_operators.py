@@ -212,28 +212,19 @@ def test_html_never_fails(text):
 
 
 def deduplicated(docs: list[tuple[int, str]], least: int) -> dict[int, str]:
-    lines = {i: [(k, x.strip(" \t\n\x0b\f\r")) for k, x in enumerate(t.split("\n")) if WORD.search(x)] for i, t in docs}
-    first: dict = {}
-    for i, _ in docs:
-        s, k = [x for _, x in lines[i]], 1
-        while k <= len(s):
-            for a in range(len(s) - k + 1):
-                first.setdefault(tuple(s[a : a + k]), (i, a))
-            k *= 2
+    """Every run of lines that occurs earlier as a whole goes, found by looking at all runs of all sizes."""
+    seen: set[tuple] = set()
     out = {}
     for i, text in docs:
-        s, gone, k = [x for _, x in lines[i]], set(), 1
-        while k <= len(s):
-            later = [(a, f) for a in range(len(s) - k + 1) if (f := first[tuple(s[a : a + k])]) < (i, a)]
-            starts = [0] + [n + 1 for n, (p, q) in enumerate(pairwise(later)) if q[0] != p[0] + 1 or q[1] != (p[1][0], p[1][1] + 1)] + [len(later)]
-            for b, e in pairwise(starts):
-                if e > b:
-                    span = range(later[b][0], later[e - 1][0] + k)
-                    if sum(len(WORD.findall(s[p])) for p in span) >= least:
-                        gone |= set(span)
-            k *= 2
-        drop = {lines[i][p][0] for p in gone}
-        out[i] = "" if gone and len(gone) == len(s) else "\n".join(x for n, x in enumerate(text.split("\n")) if n not in drop)
+        kept = [(k, x.strip(" \t\n\x0b\f\r")) for k, x in enumerate(text.split("\n")) if WORD.search(x)]
+        gone: set[int] = set()
+        for a in range(len(kept)):
+            runs = [kept[a:b] for b in range(a + 1, len(kept) + 1)]
+            for run in runs:
+                if tuple(x for _, x in run) in seen and sum(len(WORD.findall(x)) for _, x in run) >= least:
+                    gone |= {k for k, _ in run}
+            seen |= {tuple(x for _, x in run) for run in runs}
+        out[i] = "" if gone and len(gone) == len(kept) else "\n".join(x for n, x in enumerate(text.split("\n")) if n not in gone)
     return out
 
 
@@ -255,25 +246,23 @@ def test_lines_every_run(spark):
     docs = [(0, "\n".join(["l a b c", "m a b c"])), *[(i, "\n".join(["l a b c", "m a b c", "n a b c"])) for i in (1, 2)], *[(i, "\n".join(draw(rng.randrange(1, 25)))) for i in range(3, 60)]]
     got = rows(line_dedup.line_dedup(spark.createDataFrame(docs, "doc_id long, text string")))
     assert got[1]["n_deleted"] == 0 and got[2]["text"] == ""
-    seen: set[tuple] = set()
-    for i, text in docs:
-        kept = [(k, x) for k, x in enumerate(text.split("\n")) if x]
-        gone: set[int] = set()
-        for a in range(len(kept)):
-            runs = [kept[a:b] for b in range(a + 1, len(kept) + 1)]
-            for run in runs:
-                if tuple(x for _, x in run) in seen and sum(len(x.split()) for _, x in run) >= 10:
-                    gone |= {k for k, _ in run}
-            seen |= {tuple(x for _, x in run) for run in runs}
-        assert got[i]["n_deleted"] == len(gone)
-        assert got[i]["text"] == ("" if gone and len(gone) == len(kept) else "\n".join(x for k, x in enumerate(text.split("\n")) if k not in gone))
+    assert {i: got[i]["text"] for i, _ in docs} == deduplicated(docs, line_dedup.MIN_WORDS)
+
+
+def test_lines_chain_of_parts(spark):
+    a, b, c = "a1 a2 a3 a4", "b1 b2 b3 b4", "c1 c2 c3 c4"
+    docs = [(1, f"{a}\n{b}\nx"), (2, f"y\n{b}\n{c}"), (3, f"{a}\n{b}\n{c}"), (4, f"{a}\n\n{b}\n{c}"), (5, " ".join(["one"] * 30)), (6, "\n".join(["w"] * 25))]
+    got = rows(line_dedup.line_dedup(spark.createDataFrame(docs, "doc_id long, text string")))
+    assert [got[i]["n_deleted"] for i in range(1, 7)] == [0, 0, 0, 3, 0, 24] and got[6]["text"] == "w"
 
 
-def test_names():
-    ids, places = np.array([5, 6, 5, 6, 7]), np.array([0, 1, 2, 3, 5])
-    got = {k: (at.tolist(), name) for k, at, name in line_dedup.names(ids, places)}
-    assert got[0][0] == [0, 1, 2, 3, 4] and got[1][0] == [0, 1, 2] and got[2][0] == [0]
-    assert got[1][1][0] == got[1][1][2] != got[1][1][1]
+def test_lines_ranks(spark):
+    """Ranks after a round order the suffixes as their first two lines do, and only repeated ones have one."""
+    lines = [3, 1, 2, 1, 2, 3, 1, 9]
+    frame = spark.createDataFrame([(0, 0, k, v, 1, 1) for k, v in enumerate(lines)], "doc long, hash long, place int, rank long, low int, high int")
+    got = {r["place"]: r["rank"] for r in line_dedup._doubled(frame, 0, Scratch(spark, "ranks")).collect()}
+    pair = {k: tuple(lines[k : k + 2]) for k in got}
+    assert set(got) == {0, 1, 3, 5} and all((got[x] < got[y]) == (pair[x] < pair[y]) for x in got for y in got)
 
 
 # 5
