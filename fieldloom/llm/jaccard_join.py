@@ -81,6 +81,7 @@ _POSTINGS = pa.schema([("bucket", pa.int32()), ("tokens", pa.binary()), ("docs",
 _TALLY = pa.schema([("doc_id", pa.int64()), ("size", pa.int32()), ("n", pa.int32()), ("hash", pa.int64())])
 _SLIM = pa.schema([("slice", pa.int64()), ("doc_id", pa.int64()), ("size", pa.int32()), ("low", pa.binary())])
 _SETS = pa.schema([("slice", pa.int64()), ("doc_id", pa.int64()), ("size", pa.int32()), ("tokens", pa.binary())])
+_ENDS = pa.schema([("doc_id", pa.int64()), ("ends", pa.binary())])
 _ENTRIES = pa.schema([("token", pa.int64()), ("doc_id", pa.int64()), ("size", pa.int32()), ("left", pa.int32())])
 
 
@@ -151,14 +152,12 @@ def _tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 FILTER_BITS, MOST_BITS = 16, 2**27
 
 
-def _bits(ids: DataFrame, count: int) -> np.ndarray | None:
-    """A bitmap of hashed ids (one column), FILTER_BITS bits for each of `count` rows; None where it would pass MOST_BITS.
+def _bits(ids: DataFrame, count: int) -> np.ndarray:
+    """A bitmap of hashed ids (one column): FILTER_BITS bits for each of `count` rows, MOST_BITS at most.
 
     Spark builds it in pieces of 32,768 bits; at most 16 MB reach the driver and, as a broadcast, the tasks.
     """
-    n = 2 ** max(15, (FILTER_BITS * count - 1).bit_length())
-    if n > MOST_BITS:
-        return None
+    n = min(MOST_BITS, 2 ** max(15, (FILTER_BITS * count - 1).bit_length()))
     place = F.pmod(F.xxhash64(ids.columns[0]), F.lit(n))
     pieces = ids.select((place + 1).alias("p")).groupBy(F.bitmap_bucket_number("p").alias("k")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("p")).alias("b")).collect()
     out = np.zeros(n // 8, np.uint8)
@@ -168,29 +167,22 @@ def _bits(ids: DataFrame, count: int) -> np.ndarray | None:
     return out
 
 
-def _among(rows: DataFrame, ids: DataFrame, count: int, then: Callable | None = None, schema: str | None = None) -> DataFrame:
-    """Rows whose doc_id is in `ids` (column doc_id), and with a filter a few others; `then` maps them to `schema`.
+def _thinned(rows: DataFrame, ids: DataFrame, count: int) -> DataFrame:
+    """Rows whose doc_id is in `ids` (column doc_id), and some others, before any shuffle.
 
-    The filter runs before any shuffle, in one worker with `then`. Beyond its bound an exact semi-join by
-    shuffle takes its place.
+    The filter's size is bounded, so it thins less the more ids there are, and not at all beyond some 10^9.
+    Whoever reads the rest joins it with `ids` exactly, by shuffle, at every size.
     """
     bits = _bits(ids, count)
-    if bits is None:
-        exact = rows.join(ids, "doc_id", "left_semi")
-        return exact.mapInArrow(then, schema) if then else exact
     held = rows.sparkSession.sparkContext.broadcast(bits)
-    n = 8 * len(bits)
-    marked, names = rows.withColumn("__place", F.pmod(F.xxhash64("doc_id"), F.lit(n))), rows.columns
+    names = rows.columns
 
     def chosen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             at = batch.column(batch.num_columns - 1).to_numpy(zero_copy_only=False)
             yield batch.select(names).filter(pa.array((held.value[at >> 3] >> (at & 7)) & 1 == 1))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from then(chosen(batches)) if then else chosen(batches)
-
-    return marked.mapInArrow(run, schema or rows.schema)
+    return rows.withColumn("__place", F.pmod(F.xxhash64("doc_id"), F.lit(8 * len(bits)))).mapInArrow(chosen, rows.schema)
 
 
 def _sets(n: int) -> Callable:
@@ -271,31 +263,52 @@ def _entries(sets: pa.Table, replies: pa.Table) -> pa.Table:
 
 
 def similar(a: np.ndarray, b: np.ndarray) -> bool:
-    """Whether two sorted sets link; prefixes under order 1 and under its reverse are tried first."""
+    """Whether two sorted sets link."""
     need = -(-PART * (len(a) + len(b)) // TIMES)
-    if not len(a) or not len(b) or need > min(len(a), len(b)):
-        return False
-    p, q = len(a) - least_overlap(len(a)) + 1, len(b) - least_overlap(len(b)) + 1
-    for x, y in ((a[:p], b[:q]), (a[len(a) - p :], b[len(b) - q :])):
-        if not len(np.intersect1d(x, y, assume_unique=True)):
-            return False
-    return len(np.intersect1d(a, b, assume_unique=True)) >= need
+    return 0 < need <= min(len(a), len(b)) and len(np.intersect1d(a, b, assume_unique=True)) >= need
+
+
+def ends(tokens: np.ndarray) -> np.ndarray:
+    """Prefixes of a sorted set under order 1 and under order 3, one after the other, cut to 32 bits a token."""
+    p = len(tokens) - least_overlap(len(tokens)) + 1
+    return np.concatenate([tokens[:p], tokens[len(tokens) - p :]]).astype("<u4") if len(tokens) else np.zeros(0, "<u4")
+
 
+def sharing(a: np.ndarray, b: np.ndarray) -> bool:
+    """Whether two sets share a prefix token under order 1 and one under order 3, as all sets that link do."""
+    p, q = len(a) // 2, len(b) // 2
+    return len(np.intersect1d(a[:p], b[:q])) > 0 and len(np.intersect1d(a[p:], b[q:])) > 0
 
-def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def _ended(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for part in slices(batches):
-        x, y, a, b = (c.to_pylist() for c in part.columns)
-        keep = [similar(np.frombuffer(p, np.uint64), np.frombuffer(q, np.uint64)) for p, q in zip(a, b, strict=True)]
-        yield pa.RecordBatch.from_arrays([pa.array([v for v, k in zip(c, keep, strict=True) if k], pa.int64()) for c in (x, y)], names=["x", "y"])
+        yield _batch(_ENDS, part.column(0), [ends(np.frombuffer(t, np.uint64)).tobytes() for t in part.column(1).to_pylist()])
+
+
+def _chosen(test: Callable, kind: type) -> Callable:
+    """Pairs (x, y) whose two values pass `test`."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches):
+            keep = [test(np.frombuffer(p, kind), np.frombuffer(q, kind)) for p, q in zip(part.column(2).to_pylist(), part.column(3).to_pylist(), strict=True)]
+            yield part.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
-def _linked(pairs: DataFrame, sets: DataFrame, count: int) -> DataFrame:
-    """Pairs (x, y) whose sets link. Only sets that occur in a pair are dealt out."""
+    return run
+
+
+def _paired(pairs: DataFrame, table: DataFrame, column: str, count: int) -> DataFrame:
+    """Pairs (x, y) with `column` of `table` for both. Only rows that occur in a pair are dealt out."""
     used = pairs.select(F.col("x").alias("doc_id")).union(pairs.select("y")).distinct()
-    sets = _among(sets.select("doc_id", "tokens"), used, count)
-    a = sets.select(F.col("doc_id").alias("x"), F.col("tokens").alias("a"))
-    b = sets.select(F.col("doc_id").alias("y"), F.col("tokens").alias("b"))
-    return pairs.join(a, "x").join(b, "y").select("x", "y", "a", "b").mapInArrow(_verified, "x long, y long").distinct()
+    table = _thinned(table.select("doc_id", column), used, count)
+    a, b = (table.select(F.col("doc_id").alias(k), F.col(column).alias(v)) for k, v in (("x", "a"), ("y", "b")))
+    return pairs.join(a, "x").join(b, "y").select("x", "y", "a", "b")
+
+
+def _linked(pairs: DataFrame, sets: DataFrame, prefixes: DataFrame, count: int, scratch: Scratch, name: str) -> DataFrame:
+    """Pairs (x, y), candidates under order 2, whose sets link; sets move only for those that orders 1 and 3 let pass too."""
+    near = _paired(pairs, prefixes, "ends", count).mapInArrow(_chosen(sharing, np.uint32), "x long, y long")
+    near = scratch.keep(near, f"{name}-near")
+    return _paired(near, sets, "tokens", count).mapInArrow(_chosen(similar, np.uint64), "x long, y long").distinct()
 
 
 _ADMISSIBLE = f"{TIMES} * least(left, hub.left) >= {PART} * (size + hub.size)"
@@ -309,12 +322,20 @@ def _stars(entries: DataFrame, order: list) -> DataFrame:
     return found.select(F.least("doc_id", "hub.doc_id").alias("x"), F.greatest("doc_id", "hub.doc_id").alias("y")).distinct()
 
 
+#: A little more than the largest ratio of the sizes of two sets that link, 5/4.
+_RATIO = 1.2501
+
+
 def _rest(entries: DataFrame) -> DataFrame:
-    """All admissible pairs of a token's list that lie in different components; the smaller set comes with at most a ninth of it before the token."""
-    mixed = entries.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high").select("token")
-    held = entries.join(mixed, "token", "left_semi")
-    small = held.filter(f"{TIMES} * left >= {2 * PART} * size").select("token", F.struct("doc_id", "size", "left", "label").alias("hub"))
-    found = held.join(small, "token").filter("label != hub.label AND (hub.size < size OR hub.size = size AND hub.doc_id < doc_id)").filter(_ADMISSIBLE)
+    """All admissible pairs of a token's list that lie in different components; the smaller set comes with at most a ninth of it before the token.
+
+    Lists are cut into classes of sizes; sets that link lie in one class or in adjacent ones.
+    """
+    classed = entries.withColumn("class", F.floor(F.log(F.col("size")) / F.log(F.lit(_RATIO))))
+    mixed = classed.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high").select("token")
+    held = classed.join(mixed, "token", "left_semi")
+    small = held.filter(f"{TIMES} * left >= {2 * PART} * size").select("token", F.explode(F.array("class", F.col("class") + 1)).alias("class"), F.struct("doc_id", "size", "left", "label").alias("hub"))
+    found = held.join(small, ["token", "class"]).filter("label != hub.label AND (hub.size < size OR hub.size = size AND hub.doc_id < doc_id)").filter(_ADMISSIBLE)
     return found.select(F.least("doc_id", "hub.doc_id").alias("x"), F.greatest("doc_id", "hub.doc_id").alias("y")).distinct()
 
 
@@ -346,7 +367,8 @@ def jaccard_components(docs: DataFrame, n: int = 5, scratch: Scratch | None = No
     copies = scratch.keep(kept.join(classes, ["hash", "size"]).select("doc_id", "rep"), "copies")
     reps = classes.select(F.col("rep").alias("doc_id")).distinct()
 
-    sets = scratch.keep(_among(known, reps, count, _sets(n), _ddl(_SETS)), "sets")
+    sets = scratch.keep(_thinned(known, reps, count).join(reps, "doc_id", "left_semi").mapInArrow(_sets(n), _ddl(_SETS)), "sets")
+    prefixes = scratch.keep(sets.select("doc_id", "tokens").mapInArrow(_ended, _ddl(_ENDS)), "ends")
     slim = sets.mapInArrow(_slim, _ddl(_SLIM))
     counted = sets.mapInArrow(_counted(buckets), _ddl(_COUNTED)).repartition("bucket").sortWithinPartitions("bucket")
     replies = counted.mapInArrow(_replies, _ddl(_REPLIES))
@@ -360,7 +382,7 @@ def jaccard_components(docs: DataFrame, n: int = 5, scratch: Scratch | None = No
     for name, candidates in rounds:
         labelled = entries.join(labels.select(F.col("node").alias("doc_id"), "label"), "doc_id", "left").withColumn("label", F.coalesce("label", "doc_id"))
         pairs = scratch.keep(candidates(labelled), f"{name}-pairs")
-        edges = scratch.keep(edges.union(_linked(pairs, sets, count)).distinct(), f"{name}-edges")
+        edges = scratch.keep(edges.union(_linked(pairs, sets, prefixes, count, scratch, name)).distinct(), f"{name}-edges")
         labels = components(edges, scratch, name)
 
     rep = copies.groupBy("doc_id").agg(F.min("rep").alias("rep"))

@@ -396,7 +396,9 @@ def sets_of(docs):
     return out
 
 
-def test_jaccard_brute(spark):
+@pytest.mark.parametrize("bits", [jaccard_join.MOST_BITS, 8])  # 8: the filter is full, as it is for very many documents
+def test_jaccard_brute(spark, monkeypatch, bits):
+    monkeypatch.setattr(jaccard_join, "MOST_BITS", bits)
     docs = [(r["doc_id"], r["text"]) for r in small(spark).collect()]
     for k in range(60):  # a chain of near copies, and texts that share one long passage
         w = prose(50, 200).split()
@@ -426,6 +428,7 @@ def test_jaccard_brute(spark):
 def test_similar(a, b):
     x, y = np.array(sorted(a), np.uint64), np.array(sorted(b), np.uint64)
     assert jaccard_join.similar(x, y) == (100 * len(a & b) >= 80 * len(a | b))
+    assert jaccard_join.sharing(jaccard_join.ends(x), jaccard_join.ends(y)) >= jaccard_join.similar(x, y)
 
 
 def test_components(spark):
