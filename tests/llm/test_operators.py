@@ -202,6 +202,44 @@ def test_html_after_boilerplate():
     assert html_text.main_text(f"<article><p>{long}</p>{ad}<p><a href=/x>Source</a></p></article>") == f"{long}\nSource"
 
 
+def test_html_windows_decide():
+    """With tags and classes made neutral, the windows alone find the articles; where they surge moves with SURGE."""
+    import html
+
+    import pyarrow.parquet as pq
+
+    got: dict[int, tuple[int, int, int]] = {}
+    pages = [r["html"] for r in pq.read_table("/root/testdata/sf0.01/pages.parquet").to_pylist()]
+    for surge in (1, 80, 1000):
+        shared = found = wanted = 0
+        for page in pages:
+            article = re.sub("</?b>|<br>", " ", page[page.index("<article>") + 9 : page.rindex("</article>")])
+            want = Counter(html.unescape(re.sub("<[^>]*>", " ", article)).split())
+            bare = re.sub(r"<(/?)(?:nav|article|footer)\b", r"<\1div", page).replace('<div class="ad">', "<div>")
+            has = Counter(html_text.main_text(bare, surge).split())
+            shared, found, wanted = shared + sum((want & has).values()), found + sum(has.values()), wanted + sum(want.values())
+        got[surge] = shared, found, wanted
+    assert got[80][0] / got[80][2] > 0.99 and got[80][0] / got[80][1] > 0.96
+    assert got[1][1] > got[80][1] > got[1000][1]
+
+
+def test_html_partial_marks():
+    long = "A long paragraph of text that goes on and on, so that its block alone is enough to surge here. " * 3
+    kept, gone = f'<div class="related-work"><h2>Work</h2><p>{long}</p></div>', f'<div class="related-posts"><p>{long}</p></div><div class="notice"><p>{long}</p></div>'
+    for name in ("article", "main"):
+        assert html_text.main_text(f"<{name}><p>{long}</p>{kept}{gone}<p>End.</p></{name}>") == f"{long.strip()}\nWork\n{long.strip()}\nEnd."
+    assert html_text.main_text(f'<body><div class="notice"><p>{long}</p></div></body>') == long.strip()  # nothing else surges
+
+
+def test_html_linear():
+    import time
+
+    for bad in ('<div class="', "<div>", "<", "<title>", "<noscript>", "<!", "<a b=\"> <a c='", "<div><p>x</p>", "<article><p>x", "<div class=ad>x", "&lt", "</div>"):
+        began = time.perf_counter()
+        html_text.main_text(bad * (1_000_000 // len(bad)))
+        assert time.perf_counter() - began < 8, bad
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.text(alphabet="<>/pabdiv= \"'!-&;x\n", max_size=200))
 def test_html_never_fails(text):
