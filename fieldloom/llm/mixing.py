@@ -2,15 +2,11 @@
 
 from __future__ import annotations
 
-import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fieldloom.llm.common import Scratch
+from fieldloom.llm.common import Scratch, unused
 
-#: Cells that are broadcast at most (some 10 MB); a larger table of them is joined by shuffle.
-BROADCAST_CELLS = 100_000
-PREFIX = "__mix_"
 AXES = ("source", "lang", "topic")
 #: Topics by what a text is made of; the first that holds.
 TOPICS = ("empty", "table", "code", "digits", "prose")
@@ -34,91 +30,104 @@ def tokens(text: Column) -> Column:
     return F.size(F.array_remove(F.split(text, r"[\x20\x09-\x0D]+"), "")).cast("long")
 
 
-def default_targets(cells: dict[tuple, float]) -> list[dict]:
-    """Per axis a target share of each value: its share to the power 0.5, so that small sources count for more."""
-    out = []
-    for axis in range(3):
-        total: dict = {}
-        for key, n in cells.items():
-            total[key[axis]] = total.get(key[axis], 0.0) + n
-        power = {k: v**0.5 for k, v in total.items()}
-        norm = sum(power.values()) or 1.0
-        out.append({k: v / norm for k, v in power.items()})
-    return out
+def goals(cells: DataFrame, axis: str, target: dict | None = None) -> DataFrame:
+    """(value, goal) of each value of an axis that has tokens; goals add up to 1.
 
-
-def rake(cells: dict[tuple, float], targets: list[dict], rounds: int = 200, close: float = 1e-9) -> dict[tuple, float]:
-    """Weight of each (source, lang, topic) cell so that weighted token shares meet all three targets.
-
-    Iterative proportional fitting: each axis in turn is scaled to its target until nothing moves by more
-    than `close`. Values without a target or tokens keep no mass; targets are scaled to what is there.
-    Cells without tokens get weight 1.
+    Without a target a value's share to the power 0.5, so that small sources count for more. A value that
+    the target lacks gets 0; if it lacks all, they share alike.
     """
-    keys = [k for k, n in cells.items() if n > 0]
-    if not keys:
-        return dict.fromkeys(cells, 1.0)
-    mass = np.array([cells[k] for k in keys], float)
-    fitted = mass / mass.sum()
-    axes = []
-    for a, target in enumerate(targets):
-        names = sorted({k[a] for k in keys}, key=lambda x: (x is None, x))
-        goal = np.array([max(0.0, target.get(n, 0.0)) for n in names])
-        axes.append((np.array([names.index(k[a]) for k in keys]), goal / goal.sum() if goal.sum() > 0 else np.full(len(names), 1 / len(names))))
-    for _ in range(rounds):
-        before = fitted
-        for at, goal in axes:
-            now = np.bincount(at, fitted, len(goal))
-            fitted = fitted * np.divide(goal, now, out=np.zeros(len(goal)), where=now > 0)[at]
-        if np.abs(fitted - before).max() <= close:
+    held = cells.filter("tokens > 0").groupBy(F.col(axis).alias("value")).agg(F.sum("tokens").alias("n"))
+    if target is None:
+        power = held.select("value", F.sqrt("n").alias("p"))
+    else:
+        given = cells.sparkSession.createDataFrame([(k, max(0.0, float(v))) for k, v in target.items()], "v string, p double")
+        power = held.join(given, F.col("value").eqNullSafe(F.col("v")), "left").select("value", F.coalesce("p", F.lit(0.0)).alias("p"))
+    total = power.agg(F.sum("p").alias("p"), F.count("*").alias("n")).first()
+    return power.select("value", (F.col("p") / total["p"] if total["p"] else F.lit(1.0 / max(1, total["n"]))).alias("goal"))
+
+
+def rake(cells: DataFrame, scratch: Scratch, targets: list[dict] | None = None, rounds: int = 100, close: float = 1e-8) -> DataFrame:
+    """(source, lang, topic, tokens, weight): weights of cells so that weighted token shares meet the goals of all three axes.
+
+    Iterative proportional fitting: each axis in turn is scaled to its goals, until nothing moves by more
+    than `close`. A round is one aggregation and one join an axis over the written cells; a single number of
+    each reaches the driver, however many cells there are. Cells without tokens get weight 1.
+    """
+    total = cells.agg(F.sum("tokens")).first()[0] or 1
+    wanted = [scratch.keep(goals(cells, axis, targets and targets[k]), f"goals-{axis}") for k, axis in enumerate(AXES)]
+    fitted = scratch.keep(cells.filter("tokens > 0").withColumn("share", F.col("tokens") / total), "fitted-0")
+    for k in range(rounds):
+        moved = fitted.withColumn("before", F.col("share"))
+        for axis, goal in zip(AXES, wanted, strict=True):
+            now = moved.groupBy(F.col(axis).alias("now_value")).agg(F.sum("share").alias("now"))
+            ratio = now.join(goal, F.col("now_value").eqNullSafe(F.col("value"))).select("now_value", F.when(F.col("now") > 0, F.col("goal") / F.col("now")).otherwise(0.0).alias("ratio"))
+            moved = moved.join(ratio, F.col(axis).eqNullSafe(F.col("now_value"))).withColumn("share", F.col("share") * F.col("ratio")).drop("now_value", "ratio")
+        moved = scratch.keep(moved, f"fitted-{k + 1}")
+        scratch.drop(f"fitted-{k}")
+        fitted = moved.drop("before")
+        if (moved.agg(F.max(F.abs(F.col("share") - F.col("before")))).first()[0] or 0.0) <= close:
             break
-    weights = fitted / fitted.sum() / (mass / mass.sum())
-    return dict.fromkeys(cells, 1.0) | dict(zip(keys, weights.tolist(), strict=True))
+    mass = fitted.agg(F.sum("share")).first()[0] or 1.0
+    weighed = fitted.select(*AXES, "tokens", (F.col("share") / mass / (F.col("tokens") / total)).alias("weight"))
+    return weighed.union(cells.filter("tokens <= 0").select(*AXES, "tokens", F.lit(1.0)))
 
 
-def mix(docs: DataFrame, scratch: Scratch, columns: tuple[str, ...], targets: list[dict] | None = None, keep: float = 0.5, seed: int = 8) -> DataFrame:
-    """`columns` of `docs` with topic, tokens, weight, probability and sampled, each under PREFIX.
+def scale(cells: DataFrame, keep: float) -> float:
+    """c with an expected token share of `keep` under min(1, c * weight), or as much as the weights allow.
 
-    Topics, tokens and draws are written once with the columns. Tokens of all documents are summed by (source, lang, topic), the table's distinct cells; `rake` fits
-    the cells' weights on the driver. A document is sampled with the probability min(1, c * weight), where
+    c meets `keep` if no cell reached 1; cells that do are set aside, and c is found again for the rest.
+    """
+    c, total = 0.0, cells.agg(F.sum("tokens")).first()[0] or 0
+    while total:
+        full = F.col("weight") * c >= 1
+        r = cells.agg(F.sum(F.when(full, F.col("tokens")).otherwise(0)).alias("full"), F.sum(F.when(full, 0.0).otherwise(F.col("tokens") * F.col("weight"))).alias("rest")).first()
+        if not r["rest"]:
+            return c
+        after = (keep * total - r["full"]) / r["rest"]
+        if after <= c * (1 + 1e-12):
+            return c
+        c = after
+    return c
+
+
+def mix(docs: DataFrame, scratch: Scratch, columns: tuple[str, ...], targets: list[dict] | None = None, keep: float = 0.5, seed: int = 8) -> tuple[DataFrame, dict[str, str]]:
+    """`columns` of `docs` with topic, tokens, weight, probability and sampled, and the names that these have there.
+
+    Tokens of all documents are summed by (source, lang, topic), the table's distinct cells, which are
+    written; `rake` fits their weights. A document is sampled with the probability min(1, c * weight), where
     c is chosen so that a share `keep` of all tokens is expected, or as much as weights allow without
     repeats. The draw is a hash of doc_id and seed, so it repeats and equal doc_ids are drawn together; a
     null doc_id is drawn by its text. Null source and lang are values of their own, a null text is empty
-    (topic empty, no tokens, weight 1). An empty table stays empty; input columns are kept as they are.
+    (topic empty, no tokens, weight 1); texts of any length are read whole. An empty table stays empty; input
+    columns are kept as they are, whatever their names. Topics and tokens of texts are worked out anew for
+    the result where it holds the texts, and written once where it does not: texts are not written again.
     """
+    own = ("topic", "tokens", "draw", "weight", "probability", "sampled", "s", "l", "t")
+    names = dict(zip(own, unused(docs, *own), strict=True))
+    col = lambda name: F.col(names[name])
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     source, lang = F.col("source").cast("string"), F.col("lang").cast("string")
     draw = F.pmod(F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), text), F.lit(seed)), F.lit(2**53)) / 2**53
-    named = scratch.keep(docs.withColumns({f"{PREFIX}topic": topic(text), f"{PREFIX}tokens": tokens(text), f"{PREFIX}draw": draw}).select(*columns, f"{PREFIX}topic", f"{PREFIX}tokens", f"{PREFIX}draw"), "named")
-    summed = named.groupBy(source.alias("source"), lang.alias("lang"), F.col(f"{PREFIX}topic").alias("topic")).agg(F.sum(f"{PREFIX}tokens").alias("tokens")).collect()
-    cells = {(r["source"], r["lang"], r["topic"]): float(r["tokens"]) for r in sorted(summed, key=lambda r: tuple((v is None, v or "") for v in r[:3]))}
-    weights = rake(cells, targets or default_targets(cells))
-    scale = _scale(cells, weights, keep)
-    table = docs.sparkSession.createDataFrame([(*k, w, min(1.0, scale * w)) for k, w in weights.items()], f"{PREFIX}s string, {PREFIX}l string, {PREFIX}t string, {PREFIX}weight double, {PREFIX}probability double")
-    same = source.eqNullSafe(F.col(f"{PREFIX}s")) & lang.eqNullSafe(F.col(f"{PREFIX}l")) & (F.col(f"{PREFIX}topic") == F.col(f"{PREFIX}t"))
-    if len(weights) <= BROADCAST_CELLS:
-        table = F.broadcast(table)
-    sampled = F.col(f"{PREFIX}draw") < F.col(f"{PREFIX}probability")
-    return named.join(table, same, "left").withColumn(f"{PREFIX}sampled", sampled).drop(f"{PREFIX}s", f"{PREFIX}l", f"{PREFIX}t", f"{PREFIX}draw")
-
-
-def _scale(cells: dict[tuple, float], weights: dict[tuple, float], keep: float) -> float:
-    """c with an expected token share of `keep` under min(1, c * weight), by bisection."""
-    total = sum(cells.values())
-    low, high = 0.0, 1 / max(1e-12, min((w for w in weights.values() if w > 0), default=1.0))
-    for _ in range(100):
-        mid = (low + high) / 2
-        share = sum(n * min(1.0, mid * weights[k]) for k, n in cells.items())
-        low, high = (mid, high) if share < keep * total else (low, mid)
-    return high
+    named = docs.withColumns({names["topic"]: topic(text), names["tokens"]: tokens(text), names["draw"]: draw}).select(*columns, col("topic"), col("tokens"), col("draw"))
+    if "text" not in columns:
+        named = scratch.keep(named, "named")
+    summed = named.groupBy(source.alias("source"), lang.alias("lang"), col("topic").alias("topic")).agg(F.sum(names["tokens"]).alias("tokens"))
+    weighed = scratch.keep(rake(scratch.keep(summed, "cells"), scratch, targets), "weights")
+    c = scale(weighed, keep)
+    table = weighed.select(F.col("source").alias(names["s"]), F.col("lang").alias(names["l"]), F.col("topic").alias(names["t"]), F.col("weight").alias(names["weight"]), F.least(F.lit(1.0), F.col("weight") * c).alias(names["probability"]))
+    same = source.eqNullSafe(col("s")) & lang.eqNullSafe(col("l")) & (col("topic") == col("t"))
+    joined = named.join(table, same, "left").withColumn(names["sampled"], col("draw") < col("probability"))
+    return joined.drop(names["s"], names["l"], names["t"], names["draw"]), names
 
 
 def mixed(docs: DataFrame, scratch: Scratch | None = None, **options) -> DataFrame:
     """One row per document: doc_id, source, lang, topic, tokens, weight, probability, sampled. See `mix`."""
     plain = ("doc_id", "source", "lang")
-    names = ("topic", "tokens", "weight", "probability", "sampled")
-    return mix(docs.select(*plain, "text"), scratch or Scratch(docs.sparkSession, "mixing"), plain, **options).select(*plain, *[F.col(f"{PREFIX}{n}").alias(n) for n in names])
+    out, names = mix(docs.select(*plain, "text"), scratch or Scratch(docs.sparkSession, "mixing"), plain, **options)
+    return out.select(*plain, *[F.col(names[n]).alias(n) for n in ("topic", "tokens", "weight", "probability", "sampled")])
 
 
 def sample(docs: DataFrame, scratch: Scratch | None = None, **options) -> DataFrame:
     """The sampled rows of `docs`, with their columns."""
-    return mix(docs, scratch or Scratch(docs.sparkSession, "mixing"), tuple(docs.columns), **options).filter(f"{PREFIX}sampled").select(*docs.columns)
+    out, names = mix(docs, scratch or Scratch(docs.sparkSession, "mixing"), tuple(docs.columns), **options)
+    return out.filter(F.col(names["sampled"])).select(*docs.columns)

@@ -61,6 +61,24 @@ def test_empty(spark, odd, name):
     assert operators(spark, odd.filter("false"))[name]().collect() == []
 
 
+NAMES_INSIDE = (
+    "words lines n_words n_symbols shouted posterior kept base_failed topic tokens draw weight probability sampled s l t doc hash n n_gone places i h rank low high ahead size a b next new first gone "
+    "__place x y range bucket label"
+)
+
+
+def test_clashing_names(spark):
+    """A column of the input may have any name that an operator uses inside."""
+    from pyspark.sql import functions as F
+
+    docs = spark.createDataFrame([(i, prose(i, 80), "en", "s") for i in range(6)], "doc_id long, text string, lang string, source string")
+    docs = docs.withColumns({n: F.lit(7) for n in NAMES_INSIDE.split()})
+    for stage in (quality.keep_good, line_dedup.keep_first, jaccard_join.keep_one, mixing.sample):
+        kept = stage(docs)
+        assert kept.columns == docs.columns and all(r["kept"] == 7 and r["doc"] == 7 for r in kept.collect())
+    assert quality.keep_good(docs).count() == line_dedup.keep_first(docs).count() == jaccard_join.keep_one(docs).count() == 6
+
+
 def test_stages_keep_columns(spark, odd):
     for stage in (quality.keep_good, line_dedup.keep_first, jaccard_join.keep_one, mixing.sample):
         assert stage(odd).columns == odd.columns
@@ -157,11 +175,63 @@ def test_quality_base(spark):
 
 
 def test_estimate():
-    patterns = {(1, None, 1): 900, (1, 0, 1): 60, (1, None, 0): 40, (None, None, None): 5}
+    """Two rules that agree on junk teach EM to trust them; a share that the data shows is found; beliefs alone serve an empty table."""
+    patterns = {(1, None, None, False): 9000, (1, 0, 0, False): 800, (1, None, 0, False): 40, (None, None, None, True): 160}
     logit, odds = quality.estimate(patterns, 3)
     score = lambda p: logit + sum(odds[k][v] for k, v in enumerate(p))
-    assert score((1, None, 1)) > 0 > score((1, 0, 1)) and score((1, None, 0)) < 0 and score((None, None, None)) > 0
-    assert quality.estimate({}, 2)[0] == logit
+    assert score((1, None, None)) > 0 > score((1, 0, 0)) and abs(1 / (1 + 2.718281828**-logit) - 0.9) < 0.02
+    useless = quality.estimate({(0, 1, False): 500, (0, None, False): 500, (None, 1, False): 500, (None, None, False): 500}, 2)[1]
+    assert abs(useless[0][0]) < abs(quality.estimate({}, 2)[1][0][0])  # a rule that fires on half of all documents loses its say
+    assert 1 / (1 + 2.718281828 ** -quality.estimate({}, 2)[0]) == pytest.approx(quality.SHARE)
+
+
+def plain_votes(text: str) -> tuple[list, bool]:
+    w, lines = WORD.findall(text), [x for x in text.split("\n") if WORD.search(x)]
+    windows = [tuple(w[k : k + 8]) for k in range(len(w) - 7)]
+    often = Counter(windows)
+    repeated = len({k + j for k, x in enumerate(windows) if often[x] > 1 for j in range(8)})
+    n, chars = max(1, len(w)), sum(map(len, w))
+    bad = lambda x: 0 if x else None
+    ended = sum(bool(re.search("[.!?:;\"'’”»)]$", x.rstrip(" \t\n\x0b\f\r"))) for x in lines)
+    variety = len(set(w)) / n
+    symbol = "[#*$%&|<>]"
+    return [
+        bad(len(w) < 20), bad(not 2.5 <= chars / n <= 12), bad(len(re.findall(symbol, text)) > 0.1 * n), bad(sum(bool(re.search(symbol, x)) for x in w) > 0.05 * n),
+        bad(sum(len(re.findall(symbol, x)) > 1 for x in text.split("\n")) > 0.3 * len(lines)), bad((d := len(lines) - len(set(lines))) >= 3 and d > 0.3 * len(lines)), bad(repeated > 0.25 * n),
+        0 if ended < 0.3 * len(lines) else 1 if ended >= 0.8 * len(lines) else None, (0 if variety < 0.1 else 1 if variety > 0.4 else None) if len(w) >= 50 else None,
+        bad(text.upper() == text != text.lower()), bad(len(re.findall("!!+", text)) > 0.05 * n),
+    ], len(w) < 20 or 100 * repeated > 30 * len(w)
+
+
+def test_quality_posterior(spark):
+    """posterior and kept against EM over documents one by one, in arrays."""
+    docs = documents(spark, "/root/testdata/sf0.01").collect()
+    got = rows(quality.quality_rules(documents(spark, "/root/testdata/sf0.01")))
+    cast = [plain_votes(r["text"]) for r in docs]
+    kinds = [0, 1, None]
+    v = np.array([[kinds.index(x) for x in votes] for votes, _ in cast])
+    failed = np.array([f for _, f in cast])
+    possible = [[k for k, x in enumerate(kinds) if x in (0, None) or (v[:, j] == k).any()] for j in range(v.shape[1])]
+
+    def prior(table):
+        out = np.full((v.shape[1], 3), 1e-300)
+        for j, ks in enumerate(possible):
+            out[j, ks] = [table[kinds[k]] for k in ks]
+            out[j] /= out[j].sum()
+        return out
+
+    good0, bad0 = prior(quality.GOOD), prior(quality.BAD)
+    good, bad, share = good0, bad0, quality.SHARE
+    column = np.arange(v.shape[1])
+    for _ in range(200):
+        q = 1 / (1 + np.exp(-(np.log(share / (1 - share)) + np.log(good[column, v] / bad[column, v]).sum(1))))
+        q[failed] = 0
+        share = (q.sum() + quality.BELIEF * quality.SHARE) / (len(q) + quality.BELIEF)
+        count = lambda w: np.array([[w[v[:, j] == k].sum() for k in range(3)] for j in column])
+        good, bad = (count(q) + quality.BELIEF * good0) / (q.sum() + quality.BELIEF), (count(1 - q) + quality.BELIEF * bad0) / ((1 - q).sum() + quality.BELIEF)
+    want = 1 / (1 + np.exp(-(np.log(share / (1 - share)) + np.log(good[column, v] / bad[column, v]).sum(1))))
+    for r, p, f in zip(docs, want, failed, strict=True):
+        assert got[r["doc_id"]]["posterior"] == pytest.approx(p, abs=1e-5) and got[r["doc_id"]]["kept"] == (not f and p >= 0.5)
 
 
 def test_quality_against_labels(spark):
@@ -425,26 +495,64 @@ def test_differencing(lengths, windows):
 # 8
 
 
-def test_raking():
-    cells = {(s, l, "t"): n for s, l, n in (("a", "en", 90.0), ("a", "de", 10.0), ("b", "en", 30.0), ("b", "de", 70.0), ("c", "en", 0.0))}
-    weights = mixing.rake(cells, [{"a": 0.5, "b": 0.5, "c": 0.5}, {"en": 0.8, "de": 0.2}, {"t": 1.0}])
-    mass = {k: n * weights[k] for k, n in cells.items()}
-    total = sum(mass.values())
-    assert abs(sum(v for k, v in mass.items() if k[0] == "a") / total - 0.5) < 1e-6 and abs(sum(v for k, v in mass.items() if k[1] == "de") / total - 0.2) < 1e-6
-    assert mixing.rake({}, [{}, {}, {}]) == {} and weights[("c", "en", "t")] == 1.0
+def raked(cells: dict[tuple, float], targets: list[dict]) -> dict[tuple, float]:
+    """Weights by plain proportional fitting over a dictionary."""
+    total = sum(cells.values())
+    fit = {k: n / total for k, n in cells.items() if n}
+    for _ in range(500):
+        for axis, target in enumerate(targets):
+            now = Counter()
+            for k, v in fit.items():
+                now[k[axis]] += v
+            scale = sum(target.get(v, 0) for v in now)
+            fit = {k: v * target.get(k[axis], 0) / scale / now[k[axis]] for k, v in fit.items()}
+    return {k: fit[k] / (n / total) if n else 1.0 for k, n in cells.items()}
+
+
+def test_raking(spark):
+    cells = {(s, l, "t"): n for s, l, n in (("a", "en", 90), ("a", "de", 10), (None, "en", 30), (None, "de", 70), ("c", "en", 0))}
+    targets = [{"a": 0.5, None: 0.5, "c": 0.5}, {"en": 0.8, "de": 0.2}, {"t": 1.0}]
+    frame = spark.createDataFrame([(*k, n) for k, n in cells.items()], "source string, lang string, topic string, tokens long")
+    got = {tuple(r[:3]): r["weight"] for r in mixing.rake(frame, Scratch(spark, "rake"), targets).collect()}
+    assert got == pytest.approx(raked(cells, targets), rel=1e-5) and got[("c", "en", "t")] == 1.0
+    mass = {k: n * got[k] for k, n in cells.items()}
+    assert sum(v for k, v in mass.items() if k[0] == "a") / sum(mass.values()) == pytest.approx(0.5, abs=1e-6)
+    assert mixing.rake(frame.filter("false"), Scratch(spark, "rake")).collect() == []
+
+
+def plain_topic(text: str) -> str:
+    n = max(1, len(text))
+    if not WORD.search(text):
+        return "empty"
+    if text.count("|") / n > 0.02:
+        return "table"
+    if len(re.findall(r"[{}<>=;#$%&*]", text)) / n > 0.05:
+        return "code"
+    return "digits" if len(re.findall("[0-9]", text)) / n > 0.2 else "prose"
 
 
 def test_mixing_brute(spark):
-    docs = small(spark)
-    got = rows(mixing.mixed(docs))
+    docs = small(spark).collect()
+    got = rows(mixing.mixed(small(spark)))
     cells: dict = defaultdict(float)
-    for r in docs.collect():
-        g = got[r["doc_id"]]
-        assert g["tokens"] == len(WORD.findall(r["text"]))
-        cells[(r["source"], r["lang"], g["topic"])] += g["tokens"]
-    weights = mixing.rake(dict(sorted(cells.items())), mixing.default_targets(dict(sorted(cells.items()))))
-    for r in docs.collect():
-        assert got[r["doc_id"]]["weight"] == pytest.approx(weights[(r["source"], r["lang"], got[r["doc_id"]]["topic"])], rel=1e-6)
+    for r in docs:
+        cells[(r["source"], r["lang"], plain_topic(r["text"]))] += len(WORD.findall(r["text"]))
+    targets = []
+    for axis in range(3):
+        held = Counter()
+        for k, n in cells.items():
+            held[k[axis]] += n
+        norm = sum(v**0.5 for v in held.values())
+        targets.append({k: v**0.5 / norm for k, v in held.items()})
+    weights = raked(dict(cells), targets)
+    low, high = 0.0, 1e9
+    for _ in range(200):
+        mid = (low + high) / 2
+        low, high = (mid, high) if sum(n * min(1, mid * weights[k]) for k, n in cells.items()) < 0.5 * sum(cells.values()) else (low, mid)
+    for r in docs:
+        g, key = got[r["doc_id"]], (r["source"], r["lang"], plain_topic(r["text"]))
+        assert (g["tokens"], g["topic"]) == (len(WORD.findall(r["text"])), key[2])
+        assert g["weight"] == pytest.approx(weights[key], rel=1e-4) and g["probability"] == pytest.approx(min(1, high * weights[key]), rel=1e-4)
     expected = sum(g["tokens"] * g["probability"] for g in got.values())
     assert expected == pytest.approx(0.5 * sum(cells.values()), rel=1e-3)
     assert abs(sum(g["tokens"] for g in got.values() if g["sampled"]) - expected) < 0.25 * expected
