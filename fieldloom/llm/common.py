@@ -8,11 +8,12 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 
-#: Rows of an Arrow batch that are turned into Python strings at a time.
-SLICE_ROWS = 256
+#: Rows of an Arrow batch, and bytes of their texts, that are turned into Python objects at a time.
+SLICE_ROWS, SLICE_BYTES = 256, 8_000_000
 #: Distinct words whose hash a worker remembers; the memory is emptied when full, which changes no result.
 WORD_CACHE = 250_000
 
@@ -113,8 +114,17 @@ def shingles(hashes: np.ndarray, n: int = 5) -> np.ndarray:
     return mix(total)
 
 
-def slices(batches: Iterable[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterator[pa.RecordBatch]:
-    """The same rows in short batches, so that few texts are Python strings at a time."""
+def slices(batches: Iterable[pa.RecordBatch], rows: int = SLICE_ROWS, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of at most `rows` rows and `most` bytes of texts, or one row, so that little is held as Python objects at a time."""
     for batch in batches:
-        for at in range(0, batch.num_rows, rows):
-            yield batch.slice(at, rows)
+        size = np.zeros(batch.num_rows, np.int64)
+        for column in batch.columns:
+            if pa.types.is_string(column.type) or pa.types.is_binary(column.type) or pa.types.is_large_string(column.type) or pa.types.is_large_binary(column.type):
+                size += pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        total = np.cumsum(size)
+        at = 0
+        while at < batch.num_rows:
+            end = int(np.searchsorted(total, (total[at - 1] if at else 0) + most, "right"))
+            end = min(at + rows, max(at + 1, end))
+            yield batch.slice(at, end - at)
+            at = end

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import functools
 import hashlib
+from bisect import bisect_right
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -134,30 +136,45 @@ def fingerprints(docs: DataFrame, per_range: int = 512, max_ranges: int = 8192)
     """Fingerprints of every whole text and of its edited text, and their likeness (see `_SCHEMA`).
 
     The next document of a row is the next in descending doc_id order (after the last: the first); null
-    doc_ids come last, and rows of one doc_id are ordered by text. The ids alone are cut into ranges of
-    about `per_range` rows (`max_ranges` at most; then they hold more). Texts are dealt out once, each to
-    its range, and the first text of a range also to the range before it; a task reads its ranges in order
-    and holds two texts. A null text counts as empty; an empty text has an empty fingerprint. A single
-    document is its own next. An empty table gives no rows; extra columns are ignored.
+    doc_ids come last, and rows of one doc_id are ordered by a hash of their texts. The ids alone are cut into
+    ranges of about `per_range` rows (`max_ranges` at most; then they hold more), and the rows of one doc_id,
+    where they are more, by that hash. Texts are dealt out once, each to its range, and the first text of a
+    range also to the range before it; a task reads its ranges in order and holds two texts, of any length. A
+    null text counts as empty; an empty text has an empty fingerprint. A single document is its own next. An
+    empty table gives no rows; extra columns are ignored.
     """
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     place = F.coalesce(F.bitwise_not("doc_id"), F.lit(2**63 - 1))
-    places = rows.select(place.alias("place"))
-    n = min(max_ranges, places.count() // per_range + 1)
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    rows = rows.withColumns({"place": place, "tie": F.xxhash64("text")})
+    places = rows.select("place")
+    count = places.count()
+    n = min(max_ranges, count // per_range + 1)
+    most = max(per_range, -(-count // max_ranges))
+    often = {r["place"]: -(-r["n"] // most) for r in places.groupBy("place").agg(F.count("*").alias("n")).filter(F.col("n") > 2 * most).collect()}  # max_ranges / 2 at most
     cut = places.approxQuantile("place", [k / n for k in range(1, n)], max(1 / (4 * n), 1e-4)) if n > 1 else []
-    edges = sorted({max(-(2**63), min(2**63 - 1, int(x))) for x in cut})
-    first = {r["range"]: r["first"] for r in places.groupBy(_range_of(F.col("place"), edges).alias("range")).agg(F.min("place").alias("first")).collect()}
+    edges = sorted({max(-(2**63), min(2**63 - 1, int(x))) for x in cut} | {*often} | {p + 1 for p in often if p < 2**63 - 1})
+    parts = [1] * (len(edges) + 1)
+    for p, k in often.items():
+        parts[bisect_right(edges, p)] = k
+    starts = list(accumulate(parts, initial=0))
+    edge = _range_of(F.col("place"), edges)
+    share = (F.col("tie") / F.lit(2.0**64) + 0.5) * F.get(F.lit(parts), F.col("edge"))
+    part = F.get(F.lit(starts[:-1]), F.col("edge")) + F.least(F.floor(share).cast("int"), F.get(F.lit(parts), F.col("edge")) - 1)
+    ranged = rows.withColumn("edge", edge).withColumn("range", part).drop("edge")
+    first = {r["range"]: r["first"] for r in ranged.select("range", "place", "tie").groupBy("range").agg(F.min(F.struct("place", "tie")).alias("first")).collect()}
     filled = sorted(first)
     before = {r: filled[k - 1] for k, r in enumerate(filled)}
-    firsts = F.lit([first.get(r, 0) for r in range(len(edges) + 1)])
-    befores = F.lit([before.get(r, -1) for r in range(len(edges) + 1)])
+    number = range(starts[-1])
+    first_places, first_ties = (F.lit([first[r][k] if r in first else 0 for r in number]) for k in (0, 1))
+    befores = F.lit([before.get(r, -1) for r in number])
+    leads = (F.get(first_places, F.col("range")) == F.col("place")) & (F.get(first_ties, F.col("range")) == F.col("tie"))
     dealt = (
-        rows.withColumns({"place": place, "range": _range_of(place, edges)})
-        .withColumn("also", F.when(F.get(firsts, F.col("range")) == F.col("place"), F.get(befores, F.col("range"))))
+        ranged.withColumn("also", F.when(leads, F.get(befores, F.col("range"))))
         .withColumn("to", F.explode(F.array_compact(F.array(F.struct("range", F.lit(0).alias("extra")), F.when(F.col("also").isNotNull(), F.struct(F.col("also").alias("range"), F.lit(1).alias("extra")))))))
-        .select("to.range", "to.extra", "place", "doc_id", "text")
+        .select("to.range", "to.extra", "place", "doc_id", "text", "tie")
         .repartition(F.col("range"))
-        .sortWithinPartitions("range", "extra", "place", F.col("doc_id").desc_nulls_last(), "text")
+        .sortWithinPartitions("range", "extra", "place", F.col("doc_id").desc_nulls_last(), "tie", "text")
+        .drop("tie")
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -14,8 +14,8 @@ from fieldloom.llm.common import slices
 
 #: Pre-tokens whose count a worker remembers; the memory is emptied when full, which changes no result.
 COUNT_CACHE = 300_000
-#: Documents whose distinct pre-tokens share one trie.
-TRIE_DOCS = 2048
+#: Documents whose distinct pre-tokens share one trie, and bytes of their texts at most (beyond one text).
+TRIE_DOCS, TRIE_BYTES = 2048, 6_000_000
 #: What a byte of a character outside the vocabulary costs, in nats.
 BYTE_SCORE = -20.0
 
@@ -85,7 +85,7 @@ def token_counts(docs: DataFrame, path: str | None = None) -> DataFrame:
     """doc_id, n_pretokens, n_tokens of every whole text; no shuffle.
 
     Pre-tokens are the words `[^\\x20\\x09-\\x0D]+`, each with the vocabulary's word mark before it. Null and
-    empty texts have no tokens. Rows are counted one by one, so repeated doc_ids stay repeated and a null
+    empty texts have no tokens; a text of any length is read whole. Rows are counted one by one, so repeated doc_ids stay repeated and a null
     doc_id stays null. Extra columns are ignored.
     """
     path = path or default_vocabulary()
@@ -93,7 +93,7 @@ def token_counts(docs: DataFrame, path: str | None = None) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scores = vocabulary(path)
         known = _COUNTS.setdefault(path, {})
-        for part in slices(batches, TRIE_DOCS):
+        for part in slices(batches, TRIE_DOCS, TRIE_BYTES):
             texts = [t.encode("utf-8", "surrogatepass").split() if t else [] for t in part.column(1).to_pylist()]
             if len(known) > COUNT_CACHE:
                 known.clear()

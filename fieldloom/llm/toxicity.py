@@ -58,11 +58,11 @@ def _sigmoid(x: float) -> float:
     return float(1 / (1 + np.exp(-np.clip(x, -40, 40))))
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 12_000, epochs: int = 4) -> dict[int, float]:
-    """Nonzero weights by coordinate, learned from at most `max_rows` labelled rows.
+def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 12_000, epochs: int = 4, max_bytes: int = 160_000_000) -> dict[int, float]:
+    """Nonzero weights by coordinate, learned from at most `max_rows` labelled rows and `max_bytes` of their features.
 
-    Rows with crc32(doc_id) mod 3 = 1 are held out. `max_rows` bounds the sample: those with the smallest
-    hash of doc_id. The sample's ids (`max_rows` rows at most) are broadcast to find its texts; one task
+    Rows with crc32(doc_id) mod 3 = 1 are held out. The bounds take the rows with the smallest hash of
+    doc_id, the first of them even if it is larger; a text takes four bytes a distinct feature, 4 MB at most. The sample's ids (`max_rows` rows at most) are broadcast to find its texts; one task
     then learns from their hashed features. Rows without a label or doc_id are left out; without any
     labelled row there are no weights.
     """
@@ -80,7 +80,12 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 12_000, epochs: int
             yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array([a.tobytes() for a in at], pa.binary())], names=["place", "toxic", "at"])
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = sorted((p, y, a) for b in batches for p, y, a in zip(*(c.to_pylist() for c in b.columns), strict=True))
+        rows, left = [], max_bytes
+        for row in (row for b in slices(batches) for row in zip(*(c.to_pylist() for c in b.columns), strict=True)):
+            left -= len(row[2])
+            if left < 0 and rows:
+                break
+            rows.append(row)
         model = Ftrl()
         for epoch in range(epochs):
             for k in np.random.default_rng(epoch).permutation(len(rows)):
@@ -96,6 +101,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 12_000, epochs: int
         .select("place", "toxic", "text")
         .mapInArrow(hashed, "place long, toxic int, at binary")
         .repartition(1)
+        .sortWithinPartitions("place", "toxic", "at")
         .mapInArrow(learn, "at long, w double")
         .collect()
     )

@@ -15,7 +15,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from fieldloom.llm import components, fingerprints, html_text, jaccard_join, line_dedup, mixing, packing, pii, quality, tokencount, toxicity
-from fieldloom.llm.common import Scratch, documents
+from fieldloom.llm.common import Scratch, documents, shingles, slices, word_hashes
 from tests.llm.conftest import prose
 
 SF = "/root/testdata/sf0.001"
@@ -79,6 +79,13 @@ def test_clashing_names(spark):
     assert quality.keep_good(docs).count() == line_dedup.keep_first(docs).count() == jaccard_join.keep_one(docs).count() == 6
 
 
+def test_slices():
+    import pyarrow as pa
+
+    batch = pa.RecordBatch.from_pydict({"i": list(range(7)), "t": ["a" * 5, None, "b" * 30, "", "c" * 3, "d" * 3, "e"]})
+    assert [part.column(0).to_pylist() for part in slices([batch], 3, 8)] == [[0, 1], [2], [3, 4, 5], [6]]
+
+
 def test_stages_keep_columns(spark, odd):
     for stage in (quality.keep_good, line_dedup.keep_first, jaccard_join.keep_one, mixing.sample):
         assert stage(odd).columns == odd.columns
@@ -416,7 +423,7 @@ def plain_count(word: str, scores: dict[str, float]) -> int:
 def test_token_counts(spark):
     scores = tokencount.vocabulary(tokencount.default_vocabulary())
     got = rows(tokencount.token_counts(small(spark)))
-    for r in small(spark).limit(40).collect():
+    for r in small(spark).collect():
         w = WORD.findall(r["text"])
         assert (got[r["doc_id"]]["n_pretokens"], got[r["doc_id"]]["n_tokens"]) == (len(w), sum(plain_count("▁" + x, scores) for x in w))
 
@@ -430,15 +437,63 @@ def test_trie(words_):
 # 6
 
 
+def whole_fingerprint(text: str) -> str:
+    """Consistent weighted sampling one term and one sample at a time, from the shingles' definition."""
+    gamma, log_gamma, seeds = fingerprints._tables()
+    w = WORD.findall(text.translate(LOWER))
+    counted = Counter(tuple(w[k : k + 5]) for k in range(len(w) - 4)) if len(w) > 4 else Counter([tuple(w)] if w else [])
+    m64 = 2**64 - 1
+
+    def mix(z):
+        z = (z ^ z >> 30) * 0xBF58476D1CE4E5B9 & m64
+        z = (z ^ z >> 27) * 0x94D049BB133111EB & m64
+        return z ^ z >> 31
+
+    out = b""
+    for seed in map(int, seeds):
+        best = None
+        for term, n in counted.items():
+            key = int(shingles(word_hashes([x.encode() for x in term]))[0])
+            bits = mix(key ^ seed)
+            r, c, b = gamma[bits & 0xFFFF], log_gamma[bits >> 16 & 0xFFFF], np.float32(bits >> 40) * np.float32(2**-24)
+            t = int(np.floor(np.log(np.float32(n)) / r + b)) if n > 1 else 0
+            value = c - r * (t - b + 1) if n > 1 else c - r * (1 - b)
+            if best is None or (value, key) < best[:2]:
+                best = value, key, mix((key + (t & m64) * 0xD6E8FEB86659FD93) & m64)
+        if best:
+            out += (best[2] >> 48).to_bytes(2, "big")
+    return out.hex()
+
+
+def likely(a: str, b: str) -> float:
+    pairs = [(a[k : k + 4], b[k : k + 4]) for k in range(0, len(a), 4)]
+    return 0.0 if len(a) != len(b) else sum(x == y for x, y in pairs) / len(pairs) if pairs else 1.0
+
+
 def test_fingerprints(spark):
-    docs = [(r["doc_id"], r["text"]) for r in small(spark).collect()]
-    got = rows(fingerprints.fingerprints(small(spark), per_range=16))
+    """Every column against texts put together and sampled term by term."""
+    docs = [(r["doc_id"], r["text"]) for r in small(spark).filter("n_chars < 1500").orderBy("doc_id").collect()[:50]] + [(-3, "a b c d e " * 30), (-4, ""), (-5, "one two")]
+    got = rows(fingerprints.fingerprints(spark.createDataFrame(docs, "doc_id long, text string"), per_range=8))
     order = sorted(docs, reverse=True)
+    known = {i: whole_fingerprint(t) for i, t in docs}
     for k, (i, text) in enumerate(order):
-        other = fingerprints.edited(text, order[(k + 1) % len(order)][1])
+        after, following = order[(k + 1) % len(order)]
+        n = len(text) // 3
+        other = text[: len(text) - n] + following[:n]
         assert got[i]["edited_sha256"] == hashlib.sha256(other.encode()).hexdigest() and got[i]["n_chars"] == len(text)
-        assert got[i]["fingerprint"] == fingerprints.fingerprint(text).tobytes().hex() and got[i]["edited_fingerprint"] == fingerprints.fingerprint(other).tobytes().hex()
-        assert got[i]["near_next"] == fingerprints.likeness(fingerprints.fingerprint(text), fingerprints.fingerprint(order[(k + 1) % len(order)][1]))
+        assert got[i]["fingerprint"] == known[i] and got[i]["edited_fingerprint"] == (edit := whole_fingerprint(other))
+        assert (got[i]["near_edited"], got[i]["near_next"]) == (likely(known[i], edit), likely(known[i], known[after]))
+
+
+def test_fingerprints_of_one_id(spark):
+    """Rows of one doc_id are dealt over ranges, and none is lost; each finds another row as its next."""
+    texts = [prose(k, 30) for k in range(120)]
+    frame = spark.createDataFrame([(None, t) for t in texts] + [(7, t) for t in texts] + [(8, texts[0])], "doc_id long, text string")
+    got = fingerprints.fingerprints(frame, per_range=10).collect()
+    assert Counter(r["doc_id"] for r in got) == {None: 120, 7: 120, 8: 1}
+    edits = {hashlib.sha256(fingerprints.edited(a, b).encode()).hexdigest(): (a, b) for a in texts for b in texts}
+    held = [edits[r["edited_sha256"]] for r in got if r["doc_id"] == 7]
+    assert len({a for a, _ in held}) == 120 and len({b for _, b in held}) >= 119
 
 
 def test_collisions_meet_generalised_jaccard():
