@@ -92,6 +92,22 @@ def test_stages_keep_columns(spark, odd):
         assert stage(odd.filter("false")).count() == 0
 
 
+@pytest.mark.parametrize("name", ["op4_line_dedup", "op9_jaccard_join"])
+def test_sql_twins(spark, name):
+    import duckdb
+
+    from fieldloom.llm import queries
+
+    sf = "/root/testdata/sf0.01"
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{sf}/documents.parquet'")
+    cursor = con.execute(queries.oracle_sql()[name])
+    names = [c[0] for c in cursor.description]
+    want = sorted(cursor.fetchall())
+    got = queries.queries()[name](spark, sf)
+    assert got.columns == names and sorted(map(tuple, got.collect())) == want
+
+
 # 1
 
 
