@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
 from html import unescape
 from html.entities import html5
 
@@ -23,6 +24,11 @@ DATE = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}([T ][0-9]{2}:[0-9]{2}(:[0-9]{2}([.,][0-9]+)
 COMPACT_DATE = r"^[0-9]{8}$"
 
 
+def once(value: Column, body: Callable[[Column], Column]) -> Column:
+    """`body(value)` with `value` computed once a row, however often the body reads it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def strip(x: Column) -> Column:
     """Without white space (no-break space included) at either end."""
     return F.regexp_replace(x, rf"^{WHITE}+|{WHITE}+$", "")

@@ -10,7 +10,7 @@ from typing import Protocol
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fieldloom.functions.text import PROMPT_CAP, first_filled, strip
+from fieldloom.functions.text import PROMPT_CAP, first_filled, once, strip
 
 #: The reply's keys, in order, and notes of stubs.
 REPLY_KEYS = ("field", "value", "confidence", "source_url", "raw_snippet", "needs_review", "notes")
@@ -22,11 +22,12 @@ def route_pages(entities: DataFrame, pages: DataFrame, routes: DataFrame) -> Dat
 
     Text and url fall back independently, to the first that is not empty; `text_label` names the page the
     text came from ("" for none), so that a mismatch with the url shows. A page that is absent or null
-    counts as empty. `entities`: entity_id and more; `pages`: entity_id, label, url, text. The pages of an
+    counts as empty; of several pages of a label the one with the smallest url and text counts. `entities`:
+    entity_id and more; `pages`: entity_id, label, url, text. The pages of an
     entity are gathered in one map, so routing needs one shuffle however many routes there are.
     """
-    by_label = F.map_from_entries(F.collect_list(F.struct("label", F.struct("text", "url"))))
-    held = pages.dropDuplicates(["entity_id", "label"]).groupBy("entity_id").agg(by_label.alias("by_label"))
+    by_label = F.map_from_entries(F.collect_list(F.struct("label", F.struct("page.text", "page.url"))))
+    held = pages.groupBy("entity_id", "label").agg(F.min(F.struct("url", "text")).alias("page")).groupBy("entity_id").agg(by_label.alias("by_label"))
     full = entities.join(held, "entity_id", "left").crossJoin(F.broadcast(routes))
     at = lambda label, part: F.try_element_at("by_label", F.coalesce(F.col(label), F.lit("")))[part]
     text, second = at("text_label", "text"), at("text_fallback", "text")
@@ -57,31 +58,34 @@ def parse_reply(reply: Column) -> Column:
     or null value.
     """
     bare = strip(F.replace(F.replace(strip(reply), F.lit("```json"), F.lit("")), F.lit("```"), F.lit("")))
-    v = F.try_parse_json(bare)
-    top = F.schema_of_variant(v)
-    get = lambda key, kind: F.try_variant_get(v, f"$.{key}", kind)
-    kind = lambda key: F.schema_of_variant(get(key, "variant"))
-    text = lambda key: F.when(kind(key) == "STRING", get(key, "string")).when(F.coalesce(kind(key), F.lit("VOID")) == "VOID", F.lit(None)).otherwise(F.to_json(get(key, "variant")))
-    number = kind("confidence").rlike("^(BIGINT|DOUBLE|DECIMAL|FLOAT|INT)")
-    confidence = F.when(number, get("confidence", "double")).otherwise(0.0)
-    review = F.when(kind("needs_review") == "BOOLEAN", get("needs_review", "boolean")).when(kind("needs_review").isNull(), False).otherwise(True)
-    issue = (
-        F.when(kind("confidence").isNotNull() & ~number, "confidence is no number")
-        .when((confidence < 0) | (confidence > 1), "confidence outside 0..1")
-        .when(kind("needs_review").isNotNull() & (kind("needs_review") != "BOOLEAN"), "needs_review is no boolean")
-    )
-    value = F.when(F.coalesce(kind("value"), F.lit("VOID")) != "VOID", F.to_json(get("value", "variant")))
-    none = F.lit(None).cast("string")
-
-    def reply_struct(value_json, confidence, url, snippet, review, notes, issue) -> Column:
-        return F.struct(
-            value_json.alias("value_json"), confidence.cast("double").alias("confidence"), url.alias("source_url"), snippet.alias("raw_snippet"), review.alias("needs_review"),
-            notes.alias("notes"), issue.alias("issue"),
-        )
-
-    stub = lambda note: reply_struct(none, F.lit(0.0), none, none, F.lit(True), F.lit(note), F.lit(note))
-    whole = reply_struct(value, confidence, text("source_url"), text("raw_snippet"), review, text("notes"), issue)
-    return F.when(v.isNull(), stub(PARSE_ERROR)).when(~top.startswith("OBJECT"), stub(NOT_OBJECT)).otherwise(whole)
+
+    def read(v: Column) -> Column:
+        top = F.schema_of_variant(v)
+        get = lambda key, kind: F.try_variant_get(v, f"$.{key}", kind)
+        kind = lambda key: F.schema_of_variant(get(key, "variant"))
+        text = lambda key: F.when(kind(key) == "STRING", get(key, "string")).when(F.coalesce(kind(key), F.lit("VOID")) == "VOID", F.lit(None)).otherwise(F.to_json(get(key, "variant")))
+        number = kind("confidence").rlike("^(BIGINT|DOUBLE|DECIMAL|FLOAT|INT)")
+        confidence = F.when(number, get("confidence", "double")).otherwise(0.0)
+        review = F.when(kind("needs_review") == "BOOLEAN", get("needs_review", "boolean")).when(kind("needs_review").isNull(), False).otherwise(True)
+        issue = (
+            F.when(kind("confidence").isNotNull() & ~number, "confidence is no number")
+            .when((confidence < 0) | (confidence > 1), "confidence outside 0..1")
+            .when(kind("needs_review").isNotNull() & (kind("needs_review") != "BOOLEAN"), "needs_review is no boolean")
+        )
+        value = F.when(F.coalesce(kind("value"), F.lit("VOID")) != "VOID", F.to_json(get("value", "variant")))
+        none = F.lit(None).cast("string")
+
+        def reply_struct(value_json, confidence, url, snippet, review, notes, issue) -> Column:
+            return F.struct(
+                value_json.alias("value_json"), confidence.cast("double").alias("confidence"), url.alias("source_url"), snippet.alias("raw_snippet"), review.alias("needs_review"),
+                notes.alias("notes"), issue.alias("issue"),
+            )
+
+        stub = lambda note: reply_struct(none, F.lit(0.0), none, none, F.lit(True), F.lit(note), F.lit(note))
+        whole = reply_struct(value, confidence, text("source_url"), text("raw_snippet"), review, text("notes"), issue)
+        return F.when(v.isNull(), stub(PARSE_ERROR)).when(~top.startswith("OBJECT"), stub(NOT_OBJECT)).otherwise(whole)
+
+    return once(F.try_parse_json(bare), read)
 
 
 def value_text(value_json: Column) -> Column:
@@ -145,15 +149,25 @@ class ChatService:
             return json.load(answer)["choices"][0]["message"]["content"]
 
 
-def with_retries(call: Callable[[], str], attempts: int = 8, sleep: Callable[[float], None] = time.sleep) -> tuple[str | None, str | None]:
-    """(reply, error). Only rate limits are tried again, after 5, 10, ... and at most 30 seconds."""
-    for k in range(attempts):
-        try:
-            return call(), None
-        except Exception as e:  # the service's errors are data here
-            if "429" not in str(e) and "rate_limit" not in str(e).lower():
-                return None, str(e)
-            sleep(min(5 * (k + 1), 30))
+#: Seconds before each new attempt after a rate limit, and what names one.
+LIMIT_WAITS = (5, 10, 15, 20, 25, 30, 30, 30)
+LIMIT_SIGNS = ("429", "rate_limit")
+
+
+def _attempt(call: Callable[[], str]) -> tuple[str | None, str | None]:
+    try:
+        return call(), None
+    except Exception as e:  # the service's errors are data here
+        return None, str(e)
+
+
+def with_retries(call: Callable[[], str], waits: tuple[float, ...] = LIMIT_WAITS, sleep: Callable[[float], None] = time.sleep) -> tuple[str | None, str | None]:
+    """(reply, error). One attempt a wait; only a rate limit is waited out and tried again."""
+    for wait in waits:
+        reply, error = _attempt(call)
+        if error is None or not any(sign in error.lower() for sign in LIMIT_SIGNS):
+            return reply, error
+        sleep(wait)
     return None, RATE_LIMITED
 
 

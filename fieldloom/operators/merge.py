@@ -7,7 +7,10 @@ from pyspark.sql import functions as F
 
 from fieldloom.functions.text import strip
 
+#: What agreement adds to a confidence, and the sentences of notes.
 BOOST = 0.1
+AGREE = ("Cross-validated: secondary source agrees. (", ")")
+CONFLICT = ("CONFLICT: primary=", " (from ", ") vs secondary=", " (from ", ")")
 
 
 def merge_sources(primary: DataFrame, secondary: DataFrame, keys: list[str]) -> DataFrame:
@@ -32,16 +35,14 @@ def merge_sources(primary: DataFrame, secondary: DataFrame, keys: list[str]) ->
         F.least(F.lit(1.0), F.coalesce(F.col("p.confidence"), F.lit(0.0)) + BOOST).alias("confidence"),
         F.col("p.source_url").alias("source_url"),
         F.lit(False).alias("needs_review"),
-        F.concat(F.lit("Cross-validated: secondary source agrees. ("), text(F.col("s.source_url")), F.lit(")")).alias("notes"),
+        F.concat(F.lit(AGREE[0]), text(F.col("s.source_url")), F.lit(AGREE[1])).alias("notes"),
     )
     conflict = F.struct(
         pv.alias("value"),
         F.col("p.confidence").alias("confidence"),
         F.col("p.source_url").alias("source_url"),
         F.lit(True).alias("needs_review"),
-        F.concat(
-            F.lit("CONFLICT: primary="), pv, F.lit(" (from "), text(F.col("p.source_url")), F.lit(") vs secondary="), sv, F.lit(" (from "), text(F.col("s.source_url")), F.lit(")")
-        ).alias("notes"),
+        F.concat(*[x for said, value in zip(CONFLICT, (pv, text(F.col("p.source_url")), sv, text(F.col("s.source_url")), F.lit("")), strict=True) for x in (F.lit(said), value)]).alias("notes"),
     )
     merged = (
         F.when(F.col("outcome") == "agree", agree)

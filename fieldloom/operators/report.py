@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+from itertools import chain
 from pathlib import Path
 
 from pyspark.sql import DataFrame
@@ -52,30 +54,49 @@ def match_rate(checked: DataFrame) -> DataFrame:
     return checked.agg(F.count_if("matched").alias("matched"), F.count("*").alias("checked"), (F.count_if("matched") / F.count("*")).alias("rate"))
 
 
-def markdown(reports: DataFrame, spots: DataFrame, path: str | None = None) -> str | None:
-    """The report as Markdown; None, and no file, for an empty store.
+def _table(columns: list[str], rows: Iterable[Iterable]) -> Iterator[str]:
+    """A Markdown table, line by line; bars and line breaks in cells are made harmless."""
+    cell = lambda x: " ".join(str(x).replace("|", "\\|").split("\n"))
+    yield from (f"| {' | '.join(map(cell, line))} |" for line in (columns, ["---"] * len(columns)))
+    yield from (f"| {' | '.join(map(cell, row))} |" for row in rows)
+    yield ""
+
 
-    `reports`: id, name and the rollup columns, one row per entity; it and the spot checks (ten rows an
-    entity) are what a reader gets to see, so they are collected, in order of id.
+def report_lines(reports: DataFrame, spots: DataFrame) -> Iterator[str]:
+    """Lines of the report: a row an entity with its ten scores, the means, issues, and spot checks.
+
+    `reports`: id, name and the rollup columns, one row per entity. Means are aggregated; rows come to the
+    driver a partition at a time, in order of id, so any number of entities can be written. Nothing for an
+    empty store.
     """
-    rows = reports.orderBy("id").collect()
-    if not rows:
-        return None
+    ordered = reports.orderBy("id")
+    if reports.isEmpty():
+        return
     keys = [r.report_key for r in ROUTES]
-    score = lambda row, key: row["fields"][key]["score"] if row["fields"] and key in row["fields"] else 0.0
-    out = ["# Field quality", "", "Entities: " + ", ".join(r["name"] for r in rows), "", "## Scores", ""]
-    out += ["| Field | " + " | ".join(r["id"].upper() for r in rows) + " | Avg |", "|---|" + "---|" * (len(rows) + 1)]
-    means = []
-    for key in keys:
-        cells = [score(r, key) for r in rows]
-        means.append(sum(cells) / len(cells))
-        out.append(f"| {key} | " + " | ".join(f"{c:.2f}" for c in cells) + f" | **{means[-1]:.2f}** |")
-    out += ["", f"Overall: {sum(means) / len(means):.2f}", "", "## Flags", "", "| Entity | Field | Issues |", "|---|---|---|"]
-    out += [f"| {r['id']} | {key} | {'; '.join(f['issues'])} |" for r in rows for key, f in (r["fields"] or {}).items() if f["issues"]]
-    out += ["", "## Critical", ""] + [f"{r['id']}: {', '.join(r['critical_issues'])}" for r in rows if r["critical_issues"]]
-    out += ["", "## Spot checks", "", "| Entity | Field | Extracted | Actual | Match |", "|---|---|---|---|---|"]
-    out += [f"| {s['entity_id']} | {s['field']} | {s['extracted']} |  |  |" for s in spots.orderBy("entity_id", "pos").collect()]
-    text = "\n".join(out) + "\n"
-    if path:
-        Path(path).write_text(text)
-    return text
+    score = lambda key: F.coalesce(F.try_element_at("fields", F.lit(key))["score"], F.lit(0.0))
+    means = reports.agg(*[F.avg(score(key)).alias(key) for key in keys]).first()
+    shown = lambda values: [f"{v:.2f}" for v in (*values, sum(values) / len(values))]
+    yield from ("# Field quality", "", "## Scores", "")
+    scored = ordered.select("id", "name", F.array(*map(score, keys)).alias("scores"))
+    yield from _table(["Entity", "Name", *keys, "Mean"], chain(([r["id"], r["name"], *shown(r["scores"])] for r in scored.toLocalIterator()), [["**all**", "", *shown([means[k] for k in keys])]]))
+    yield from ("## Issues", "")
+    issues = ordered.select("id", F.explode(F.map_entries("fields")).alias("f")).filter("size(f.value.issues) > 0").select("id", "f.key", F.array_join("f.value.issues", "; ").alias("issues"))
+    yield from _table(["Entity", "Field", "Issues"], issues.toLocalIterator())
+    yield from ("## Critical", "")
+    critical = ordered.filter("size(critical_issues) > 0").select("id", F.array_join("critical_issues", ", ").alias("issues"))
+    yield from _table(["Entity", "Issues"], critical.toLocalIterator())
+    yield from ("## Spot checks", "")
+    yield from _table(["Entity", "Field", "Extracted", "Actual", "Match"], ((s["entity_id"], s["field"], s["extracted"], "", "") for s in spots.orderBy("entity_id", "pos").toLocalIterator()))
+
+
+def markdown(reports: DataFrame, spots: DataFrame, path: str | None = None) -> str | None:
+    """The report as Markdown: its text, or with a path the path it was written to line by line. None, and no file, for an empty store."""
+    lines = report_lines(reports, spots)
+    first = next(lines, None)
+    if first is None:
+        return None
+    if not path:
+        return "\n".join([first, *lines])
+    with Path(path).open("w") as out:
+        out.writelines(f"{line}\n" for line in chain([first], lines))
+    return path

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Sequence
 
@@ -34,11 +35,18 @@ def upserted(old: DataFrame, new: DataFrame, keys: Sequence[str], order: Sequenc
     return old.join(fresh.select(*keys), list(keys), "left_anti").unionByName(fresh)
 
 
+def listing(entities: DataFrame) -> DataFrame:
+    """Stored entities as (id, name, scraped_at, confidence)."""
+    return entities.select("id", "name", "scraped_at", F.col("overall_confidence").alias("confidence"))
+
+
 class Store:
-    """Three Parquet tables in a folder. A table is a pointer to a version that was written whole.
+    """Three Parquet tables in a folder, and numbered manifests that say which version of each table counts.
 
-    An upsert writes the next version and then moves the pointer, so a reader or a failed job never sees
-    half a table, and no version is overwritten while it is read.
+    Versions are written whole and never changed. An upsert, of one table or of all three, writes the new
+    versions and then one manifest with the next number, by a rename that fails if another writer was first.
+    The manifest with the highest number counts; so whatever fails before the rename changes nothing, and all
+    tables of an upsert change together.
     """
 
     TABLES = {"universities": (schema.ENTITIES, ["id"], ["scraped_at"]), "raw_fields": (schema.RAW_FIELDS, ["university_id", "field_name"], ["scraped_at"]), "validation_reports": (schema.VALIDATION_REPORTS, ["university_id"], ["created_at"])}
@@ -52,35 +60,63 @@ class Store:
     def _fs(self):
         return self._path(self.root).getFileSystem(self.spark._jsc.hadoopConfiguration())
 
-    def _version(self, name: str) -> str | None:
-        pointer = f"{self.root}/{name}/current"
-        if not self._fs().exists(self._path(pointer)):
-            return None
-        return self.spark.read.text(pointer).first()["value"]
+    def _manifest(self) -> tuple[int, dict[str, str]]:
+        """Number and content (table: version) of the manifest that counts; 0 and {} for a new store."""
+        folder = self._path(f"{self.root}/manifests")
+        if not self._fs().exists(folder):
+            return 0, {}
+        names = [f.getPath().getName() for f in self._fs().listStatus(folder)]
+        last = max((int(n) for n in names if n.isdigit()), default=0)
+        if not last:
+            return 0, {}
+        return last, json.loads("\n".join(r["value"] for r in self.spark.read.text(f"{self.root}/manifests/{last:012d}").collect()))
+
+    def _publish(self, number: int, versions: dict[str, str]) -> None:
+        draft = self._path(f"{self.root}/manifests/draft-{uuid.uuid4().hex}")
+        out = self._fs().create(draft, False)
+        try:
+            out.write(bytearray(json.dumps(versions).encode()))
+        finally:
+            out.close()
+        final = self._path(f"{self.root}/manifests/{number:012d}")
+        if self._fs().exists(final) or not self._fs().rename(draft, final):
+            self._fs().delete(draft, False)
+            raise RuntimeError(f"another writer has published version {number} of {self.root}")
+
+    def _write(self, name: str, rows: DataFrame) -> str:
+        version = f"{name}/v-{uuid.uuid4().hex}"
+        rows.write.parquet(f"{self.root}/{version}")
+        return version
 
     def create(self) -> None:
         """Empty tables where there are none."""
-        for name, (kind, _, _) in self.TABLES.items():
-            if self._version(name) is None:
-                self._switch(name, self.spark.createDataFrame([], kind))
+        number, versions = self._manifest()
+        new = {name: self._write(name, self.spark.createDataFrame([], kind)) for name, (kind, _, _) in self.TABLES.items() if name not in versions}
+        if new:
+            self._publish(number + 1, versions | new)
 
-    def _switch(self, name: str, rows: DataFrame) -> None:
-        version = f"{self.root}/{name}/v-{uuid.uuid4().hex}"
-        rows.write.parquet(version)
-        self.spark.createDataFrame([(version,)], "value string").coalesce(1).write.mode("overwrite").text(f"{self.root}/{name}/current")
+    def _read(self, name: str, versions: dict[str, str]) -> DataFrame:
+        kind: T.StructType = self.TABLES[name][0]
+        return self.spark.read.schema(kind).parquet(f"{self.root}/{versions[name]}") if name in versions else self.spark.createDataFrame([], kind)
 
     def read(self, name: str) -> DataFrame:
-        kind: T.StructType = self.TABLES[name][0]
-        version = self._version(name)
-        return self.spark.read.schema(kind).parquet(version) if version else self.spark.createDataFrame([], kind)
+        return self._read(name, self._manifest()[1])
 
     def upsert(self, name: str, rows: DataFrame) -> None:
-        kind, keys, order = self.TABLES[name]
-        self._switch(name, upserted(self.read(name), rows.select(*kind.names), keys, order))
+        self.upsert_all({name: rows})
+
+    def upsert_all(self, tables: dict[str, DataFrame]) -> None:
+        """Upserts into several tables that readers see at once, or not at all."""
+        number, versions = self._manifest()
+        new = {}
+        for name, rows in tables.items():
+            kind, keys, order = self.TABLES[name]
+            new[name] = self._write(name, upserted(self._read(name, versions), rows.select(*kind.names), keys, order))
+        self._publish(number + 1, versions | new)
 
     def listed(self) -> DataFrame:
         """All entities: id, name, scraped_at, confidence; oldest upsert first."""
-        return self.read("universities").select("id", "name", "scraped_at", F.col("overall_confidence").alias("confidence")).orderBy("scraped_at", "id")
+        return listing(self.read("universities")).orderBy("scraped_at", "id")
 
     def record(self, entity_id: str) -> str | None:
         """The stored record of an entity as JSON, or None."""

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from fieldloom.functions.text import contains_code, iso_date, number
 
-#: Thresholds and scores.
+#: Thresholds and scores, and below the issues' texts.
 LOW_CONFIDENCE, READY, CRITICAL = 0.7, 0.6, 0.5
 OPTIONAL_MISSING, RULE_MISSING = 0.5, 0.4
 CURRENCY_CAP, PERCENT_CAP, DATE_CAP = 0.7, 0.5, 0.6

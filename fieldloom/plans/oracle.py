@@ -56,6 +56,13 @@ _FIELDS = "fields(pos, field) as (values " + ", ".join(f"({i}, '{f}')" for i, f
 _FULL = f"{_SCORED}, {_FIELDS}, full_ as (select e.entity_id, f.field, f.pos, coalesce(s.score, 0.0) as score from (select distinct entity_id from scored) e cross join fields f left join scored s on s.entity_id = e.entity_id and s.field = f.field)"
 
 
+_GRID = f"""{_NEWEST}, {_FIELDS}, asked as (select c_custkey as entity_id, f.field, f.pos, n.value, coalesce(n.confidence, 0.0) as confidence from customer cross join fields f left join newest n on n.entity_id = c_custkey and n.field = f.field),
+ grid as (select entity_id, field, pos, case when field = 'purchase' then {_P[0]} else {_G[0]} end as score, case when field = 'purchase' then {_P[1]} else {_G[1]} end as issue from asked)"""
+_STORED = f"""{_NEWEST}, stored as (select cast(entity_id as varchar) as entity_id, case field when 'view' then 'about_raw' when 'purchase' then 'acceptance_raw' else 'visa_raw' end as storage_key, field, seq,
+ case field when 'view' then '{{"n":' || seq || '}}' when 'purchase' then '"' || cast(cast(value as decimal(10,2)) as varchar) || '"' end as value_json, cast(cast(value as decimal(10,2)) as double) as number, confidence, needs_review,
+ case when seq % 3 = 0 then 'third' end as notes from newest where field in ('view', 'purchase', 'signup'))"""
+
+
 def _routes() -> str:
     text = lambda x: "null" if x is None else _quoted(x)
     return "routes(storage_key, a, b, c, d) as (values " + ", ".join(f"({text(r.storage_key)}, {text(r.text_label)}, {text(r.text_fallback)}, {text(r.url_label)}, {text(r.url_fallback)})" for r in ROUTES) + ")"
@@ -64,7 +71,7 @@ def _routes() -> str:
 _LABELS = "['about', 'tuition', 'living', 'scholarships', 'deadlines', 'visa', 'employment', 'courses']"
 _SHAPES = r"""shaped as (select event_id, event_id % 7 as shape, value, json_extract_string(props, '$.k') as k from events)"""
 _TEXT14 = "case o_orderkey % 6 when 0 then null when 1 then strftime(o_orderdate, '%Y-%m-%d') || 'T10:00:00+02:00' when 2 then strftime(o_orderdate, '%Y%m%d') when 3 then strftime(o_orderdate, '%Y-%m-%d') || ' or so' when 4 then '2025-02-30' else strftime(o_orderdate, '%Y-%m-%d') end"
-_V13 = "case when seq % 5 = 0 then 'about half' when seq % 7 = 0 then null else ' ' || cast(cast(value as decimal(10,2)) as varchar) || '% ' end"
+_V13 = "case when seq % 11 = 0 then '-' || cast(cast(value as decimal(10,2)) as varchar) when seq % 5 = 0 then 'about half' when seq % 7 = 0 then null else ' ' || cast(cast(value as decimal(10,2)) as varchar) || '% ' end"
 _P13 = _percent("t", "confidence")
 _G11 = _generic("field", "v", "confidence", "field = 'click'")
 _TWO = f"""{_EXT}, ranked as (select *, row_number() over (partition by entity_id, field order by observed_at desc, seq desc) - 1 as i from ext),
@@ -82,7 +89,7 @@ def oracle_sql() -> dict[str, str]:
  g as (select *, case when starts_with(base, 'http:') then not starts_with(path, '/de/') when contains(base, '//m.') then false else true end as allowed from p)
  select page_id, base, allowed, case when allowed then url end as fetch_url from g""",
         "q04_registry_explode": "select n_nationkey as entity_id, r_name as country, l.label, 'https://' || lower(n_name) || '.example/' || l.path as url from nation join region on n_regionkey = r_regionkey cross join (values ('about', 'about'), ('tuition', 'fees')) l(label, path)",
-        "q05_route_fallback": f"""with {_routes()}, p as (select page_id // 8 as entity_id, {_LABELS}[page_id % 8 + 1] as label, case when page_id % 7 <> 0 then url end as url, case when page_id % 5 <> 0 then substring({_text('html')}, 1, 40) end as text from pages),
+        "q05_route_fallback": f"""with {_routes()}, p as (select page_id // 8 as entity_id, {_LABELS}[page_id % 8 + 1] as label, case when page_id % 7 <> 0 then url end as url, case when page_id % 5 <> 0 then {_text('html')} end as text from pages),
  j as (select e.entity_id, r.storage_key, r.a, r.b, p1.text as t1, p2.text as t2, p3.url as u1, p4.url as u2 from (select distinct entity_id from p) e cross join routes r
   left join p p1 on p1.entity_id = e.entity_id and p1.label = r.a left join p p2 on p2.entity_id = e.entity_id and p2.label = r.b
   left join p p3 on p3.entity_id = e.entity_id and p3.label = r.c left join p p4 on p4.entity_id = e.entity_id and p4.label = r.d)
@@ -102,20 +109,18 @@ def oracle_sql() -> dict[str, str]:
         "q12_check_currency": """with t as (select doc_id, case when doc_id % 9 <> 0 then text end as v, doc_id % 100 / 100.0 as c, case when doc_id % 4 = 0 then 'amounts in usd' else '' end as n from documents),
  o as (select *, not contains(upper(v), 'USD') and not contains(upper(n), 'USD') as off from t)
  select doc_id, round(case when v is null then 0.0 when off then least(c, 0.7) else c end, 6) as score, case when v is null then 'tuition_fees: not found' when off then 'tuition: currency may not match expected USD' else '' end as issues from o""",
-        "q13_check_percent": f"with {_EXT}, t as (select *, {_V13} as t from ext) select seq, round({_P13[0]}, 6) as score, cast(({_P13[1]}) is not null as bigint) as n_issues, coalesce(regexp_extract({_P13[1]}, '^[a-z_]+: [a-z]+'), '') as issue from t",
+        "q13_check_percent": f"with {_EXT}, t as (select *, {_V13} as t from ext) select seq, round({_P13[0]}, 6) as score, cast(({_P13[1]}) is not null as bigint) as n_issues, coalesce({_P13[1]}, '') as issue from t",
         "q14_check_deadline": f"""with t as (select o_orderkey, {_TEXT14} as v, o_orderkey % 6 as shape, cast(o_orderdate as date) as day, o_orderkey % 100 / 100.0 as c from orders),
  p as (select *, shape in (1, 2, 5) and day < date '{AS_OF}' as past from t)
  select o_orderkey, round(case when v is null then 0.4 when past then least(c, 0.6) else c end, 6) as score, case when v is null then 'intake_deadlines: not found' when past then 'intake_deadlines: deadline ' || v || ' is in the past' else '' end as issues from p""",
-        "q15_entity_quality": f"with {_FULL} select entity_id, round(avg(score), 3) as quality, round(avg(score), 3) >= 0.6 as ready from full_ group by 1",
-        "q16_critical_issues": f"""with {_SCORED}, {_FIELDS} select entity_id, count(*) filter (bad) as n_critical, coalesce(string_agg(field || ' missing or implausible', ', ' order by pos) filter (bad), '') as critical
- from (select entity_id, field, pos, score < 0.5 and field in ('click', 'purchase') as bad from scored join fields using (field)) group by 1""",
-        "q17_field_entity_pivot": f"with {_FULL} select field, "
-        + ", ".join(f"format('{{:.6f}}', coalesce(max(score) filter (entity_id = {i}), 0.0)) as e{i}" for i in range(5))
-        + ", round(avg(score), 6) as avg_score from full_ where entity_id < 5 group by 1",
+        "q15_entity_quality": f"""with {_GRID} select entity_id, round(avg(score), 3) as quality, round(avg(score), 3) >= 0.6 as ready, string_agg(field || '=' || format('{{:.4f}}', score) || ' ' || coalesce(issue, ''), ', ' order by pos) as fields from grid group by 1""",
+        "q16_critical_issues": f"""with {_GRID} select entity_id, count(*) filter (bad) as n_critical, coalesce(string_agg(field || ' missing or implausible', ', ' order by pos) filter (bad), '') as critical
+ from (select *, score < 0.5 and field in ('click', 'purchase') as bad from grid) group by 1""",
+        "q17_field_entity_pivot": f"with {_FULL} select field, entity_id, format('{{:.6f}}', score) as score, round(avg(score) over (partition by field), 6) as avg_score from full_",
         "q18_field_averages": f"with {_FULL} select coalesce(field, '(all)') as field, round(avg(score), 6) as avg_score, count(*) as n from full_ group by rollup(field)",
         "q19_validation_flags": f"with {_SCORED} select entity_id, field, issue as issues from scored where issue is not null",
         "q20_value_preview": """select entity_id, 'about_university' as field, md5(p) as preview_md5, length(p) as n_chars from
- (select l.doc_id as entity_id, substring(coalesce(case when l.doc_id % 3 <> 0 then text end, '—'), 1, 80) as p from labels l left join documents d on d.doc_id = l.doc_id)""",
+ (select l.doc_id as entity_id, substring(coalesce(text, '—'), 1, 80) as p from labels l left join documents d on d.doc_id = l.doc_id)""",
         "q21_coverage": "select source, count(quality) as extracted, count(*) as attempted, round(avg(coalesce(quality, 0)), 6) as avg_confidence from documents left join labels using (doc_id) group by 1",
         "q22_spot_check_rate": "select count(*) filter (quality = cast(n_chars > 200 as int)) as matched, count(*) as checked, round(count(*) filter (quality = cast(n_chars > 200 as int)) / count(*), 6) as rate from labels join documents using (doc_id)",
         "q23_typed_record": f"""with {_NEWEST}, k as (select entity_id, max(case when field = 'view' then seq end) as vs, max(case when field = 'view' then confidence end) as vc, max(case when field = 'purchase' then value end) as pv, max(case when field = 'signup' then seq end) as ss from newest group by 1)
@@ -123,4 +128,14 @@ def oracle_sql() -> dict[str, str]:
  from customer left join k on k.entity_id = c_custkey""",
         "q24_list_text_parse": "select p_partkey, case when p_partkey % 10 <> 0 then 2 end as n_items, case when p_partkey % 10 <> 0 then replace(p_name, '''', '') end as second_name, case when p_partkey % 10 <> 0 then cast(p_size as varchar) end as first_value from part",
         "q25_dedup_urls": r"select lower(regexp_extract(url, '^([a-z]+://[^/?#]+)', 1)) || regexp_replace(regexp_extract(url, '^[a-z]+://[^/?#]+([^?#]*)', 1), '/+$', '') as url, min(page_id) as first_page, count(*) as n_pages from pages group by 1",
+        "q26_stored_rows": f"with {_STORED} select entity_id as university_id, storage_key as field_name, coalesce(value_json, 'null') as value_json, round(confidence, 6) as confidence, 'e:' || seq as source_url, cast(needs_review as int) as needs_review, notes, '2024-01-01 00:00:00' as scraped_at from stored",
+        "q27_output_documents": f"""with {_STORED}, k as (select entity_id, string_agg(storage_key, ',' order by case storage_key when 'about_raw' then 1 when 'acceptance_raw' then 5 else 8 end) as keys, max(case when field = 'view' then seq end) as about_n,
+ max(case when field = 'view' then confidence end) as ac, max(case when field = 'view' then notes end) as about_notes, max(case when field = 'purchase' then number end) as pn, max(case when field = 'purchase' then confidence end) as pc,
+ max(case when field = 'purchase' then json_extract_string(value_json, '$') end) as acceptance, max(case when field = 'signup' then 'student_visa_type_requirements_processing_time' end) as visa_field from stored group by 1),
+ q as (select *, round((coalesce(ac, 0.0) + case when pn is null then 0.4 when pn > 100 then 0.0 else pc end + 0.0 + 0.5 * 6 + 0.4) / 10, 3) as quality from k)
+ select entity_id, c_name as name, keys, about_n, acceptance, visa_field, about_notes, quality, quality >= 0.6 as ready from q join customer on cast(c_custkey as varchar) = entity_id""",
+        "q28_entity_listing": "select o_custkey as id, 'Customer ' || o_custkey as name, o_orderdate as scraped_at, round(o_totalprice, 2) as confidence from orders qualify row_number() over (partition by o_custkey order by o_orderdate desc, o_orderkey desc) = 1",
+        "q29_upsert_second_run": f"""with {_EXT}, r as (select *, seq % 2 as run from ext),
+ l as (select * from r qualify row_number() over (partition by entity_id, field, run order by observed_at desc, seq desc) = 1)
+ select entity_id, field, round(value, 6) as value, round(confidence, 6) as confidence, observed_at, seq from l qualify row_number() over (partition by entity_id, field order by run desc) = 1""",
     }

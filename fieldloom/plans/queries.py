@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fieldloom import schema
 from fieldloom.functions.text import PROMPT_CAP, html_to_text, normal_url, url_base
 from fieldloom.operators import merge, report, store, typed, validate
 from fieldloom.operators.extract import parse_reply, prompt, route_pages, value_text
+from fieldloom.plans.run import outputs
 from fieldloom.sources.robots import gate
 
 AS_OF = "1998-01-01"
@@ -109,10 +110,11 @@ def q09_upsert_entity(spark, d):
 
 
 def _two(spark, d):
-    pair = ext(spark, d).groupBy("entity_id", "field").agg(F.slice(F.reverse(F.array_sort(F.collect_list(F.struct("observed_at", "seq", "value", "confidence", "needs_review")))), 1, 2).alias("p"))
-    one = lambda i: pair.select("entity_id", "field", F.get("p", F.lit(i)).alias("x")).filter("x IS NOT NULL").select(
-        "entity_id", "field", F.when(F.col("x.seq") % 4 != i, F.floor(F.col("x.value") / 100).cast("string")).alias("value"), F.col("x.confidence").alias("confidence"), F.concat(F.lit("e:"), F.col("x.seq").cast("string")).alias("source_url"),
-        F.col("x.needs_review").alias("needs_review"), F.lit(None).cast("string").alias("notes"),
+    latest_first = Window.partitionBy("entity_id", "field").orderBy(F.col("observed_at").desc(), F.col("seq").desc())
+    pair = ext(spark, d).withColumn("i", F.row_number().over(latest_first) - 1).filter("i < 2")
+    one = lambda i: pair.filter(F.col("i") == i).select(
+        "entity_id", "field", F.when(F.col("seq") % 4 != i, F.floor(F.col("value") / 100).cast("string")).alias("value"), "confidence", F.concat(F.lit("e:"), F.col("seq").cast("string")).alias("source_url"),
+        "needs_review", F.lit(None).cast("string").alias("notes"),
     )
     return one(0), one(1)
 
@@ -140,8 +142,9 @@ def q12_check_currency(spark, d):
 
 def q13_check_percent(spark, d):
     text = F.when(F.col("seq") % 5 == 0, F.lit("about half")).when(F.col("seq") % 7 == 0, F.lit(None)).otherwise(F.concat(F.lit(" "), F.col("value").cast("decimal(10,2)").cast("string"), F.lit("% ")))
+    text = F.when(F.col("seq") % 11 == 0, F.concat(F.lit("-"), F.col("value").cast("decimal(10,2)").cast("string"))).otherwise(text)
     v = validate.check_percent(text, F.col("confidence"))
-    return ext(spark, d).withColumn("v", v).select("seq", F.round("v.score", 6).alias("score"), F.size("v.issues").cast("long").alias("n_issues"), F.regexp_extract(F.array_join("v.issues", ""), "^[a-z_]+: [a-z]+", 0).alias("issue"))
+    return ext(spark, d).withColumn("v", v).select("seq", F.round("v.score", 6).alias("score"), F.size("v.issues").cast("long").alias("n_issues"), F.array_join("v.issues", "").alias("issue"))
 
 
 def q14_check_deadline(spark, d):
@@ -151,16 +154,23 @@ def q14_check_deadline(spark, d):
     return _verdicts(_read(spark, d, "orders"), validate.check_deadline(text, (F.col("o_orderkey") % 100) / 100, F.lit(AS_OF).cast("date")))
 
 
+def _rolled(spark, d) -> DataFrame:
+    """The rollup of every entity's newest extractions, by rules of the five event types."""
+    routes = spark.createDataFrame([(i, f, f, f, "percent" if f == "purchase" else "generic", f == "click", f"{f} missing or implausible" if f in ("click", "purchase") else None) for i, f in enumerate(EVENT_FIELDS)], "pos int, storage_key string, report_key string, spot_name string, rule string, required boolean, critical string")
+    found = newest(spark, d).select("entity_id", F.col("field").alias("storage_key"), F.col("value").cast("string").alias("value"), "confidence", F.lit(None).cast("string").alias("notes"))
+    entities = _read(spark, d, "customer").select(F.col("c_custkey").alias("entity_id"), F.lit("USD").alias("currency"))
+    return validate.rollup(validate.score_fields(found, routes, entities, AS_OF))
+
+
 def q15_entity_quality(spark, d):
-    full = _full(spark, d)
-    return full.groupBy("entity_id").agg(F.round(F.avg("score"), 3).alias("quality")).withColumn("ready", F.col("quality") >= validate.READY)
+    """Every customer's score, readiness and field map; those without any event miss all fields."""
+    entry = lambda x: F.concat(x["key"], F.lit("="), F.format_string("%.4f", x["value"]["score"]), F.lit(" "), F.array_join(x["value"]["issues"], ";"))
+    fields = F.array_join(F.transform(F.map_entries("fields"), entry), ", ")
+    return _rolled(spark, d).select("entity_id", F.round("overall_quality_score", 3).alias("quality"), F.col("ready_for_storage").alias("ready"), fields.alias("fields"))
 
 
 def q16_critical_issues(spark, d):
-    rows = scored(spark, d).join(F.broadcast(_fields(spark)), "field")
-    msg = F.when((F.col("score") < validate.CRITICAL) & F.col("field").isin("click", "purchase"), F.struct("pos", F.concat(F.col("field"), F.lit(" missing or implausible")).alias("msg")))
-    listed = rows.groupBy("entity_id").agg(F.array_sort(F.collect_list(msg)).alias("m"))
-    return listed.select("entity_id", F.size("m").cast("long").alias("n_critical"), F.array_join(F.transform("m", lambda x: x["msg"]), ", ").alias("critical"))
+    return _rolled(spark, d).select("entity_id", F.size("critical_issues").cast("long").alias("n_critical"), F.array_join("critical_issues", ", ").alias("critical"))
 
 
 def _fields(spark) -> DataFrame:
@@ -230,5 +240,46 @@ def q25_dedup_urls(spark, d):
     return rows.groupBy("url").agg(F.min("page_id").alias("first_page"), F.count("*").alias("n_pages"))
 
 
+def _enveloped(spark, d) -> DataFrame:
+    """The newest events as envelopes of three routes: views with an object as value, purchases with a number, signups with none."""
+    keys = F.create_map(*[F.lit(x) for x in ("view", "about_raw", "purchase", "acceptance_raw", "signup", "visa_raw")])
+    number = F.col("value").cast("decimal(10,2)").cast("string")
+    value = F.when(F.col("field") == "view", F.concat(F.lit('{"n":'), F.col("seq").cast("string"), F.lit("}"))).when(F.col("field") == "purchase", F.concat(F.lit('"'), number, F.lit('"')))
+    held = newest(spark, d).withColumn("storage_key", F.try_element_at(keys, F.col("field"))).filter("storage_key IS NOT NULL").withColumn("value_json", value)
+    named = F.broadcast(schema.routes(spark).select("storage_key", "pos", "prompt_name"))
+    return held.join(named, "storage_key").select(
+        F.col("entity_id").cast("string").alias("entity_id"), "pos", "storage_key", "prompt_name", "value_json", value_text(F.col("value_json")).alias("value"), "confidence", F.concat(F.lit("e:"), F.col("seq").cast("string")).alias("source_url"),
+        F.lit(None).cast("string").alias("raw_snippet"), "needs_review", F.when(F.col("seq") % 3 == 0, "third").alias("notes"),
+    )
+
+
+def q26_stored_rows(spark, d):
+    return store.raw_rows(_enveloped(spark, d), RUN_TS).withColumn("scraped_at", F.col("scraped_at").cast("string")).withColumn("confidence", F.round("confidence", 6))
+
+
+def q27_output_documents(spark, d):
+    """The JSON document of each customer with events: what it holds, read back from its text."""
+    registry = _read(spark, d, "customer").select(F.col("c_custkey").cast("string").alias("id"), F.col("c_name").alias("name"), F.col("c_mktsegment").alias("country"), F.lit("USD").alias("currency"))
+    j = lambda path: F.get_json_object("json", path)
+    return outputs(registry, _enveloped(spark, d), AS_OF, RUN_TS).select(
+        "entity_id", j("$.name").alias("name"), F.array_join(F.json_object_keys(j("$.fields")), ",").alias("keys"), j("$.fields.about_raw.value.n").cast("long").alias("about_n"), j("$.fields.acceptance_raw.value").alias("acceptance"),
+        j("$.fields.visa_raw.field").alias("visa_field"), j("$.fields.about_raw.notes").alias("about_notes"), j("$.validation.overall_quality_score").cast("double").alias("quality"), j("$.validation.ready_for_storage").cast("boolean").alias("ready"),
+    )
+
+
+def q28_entity_listing(spark, d):
+    """Customers as stored entities, the newest order of each, as the store lists them."""
+    orders = _read(spark, d, "orders").select(F.col("o_custkey").alias("id"), F.concat(F.lit("Customer "), F.col("o_custkey").cast("string")).alias("name"), F.col("o_orderdate").alias("scraped_at"), F.col("o_totalprice").alias("overall_confidence"), "o_orderkey")
+    return store.listing(store.latest(orders, ["id"], ["scraped_at", "o_orderkey"])).withColumn("confidence", F.round("confidence", 2))
+
+
+def q29_upsert_second_run(spark, d):
+    """Events of two runs, by even and odd number: the second replaces the keys it has and leaves the others."""
+    rows = ext(spark, d).select("entity_id", "field", F.round("value", 6).alias("value"), F.round("confidence", 6).alias("confidence"), "observed_at", "seq")
+    order = ["observed_at", "seq"]
+    old = store.latest(rows.filter("seq % 2 = 0"), ["entity_id", "field"], order)
+    return store.upserted(old, rows.filter("seq % 2 = 1"), ["entity_id", "field"], order)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("q") and name[1:3].isdigit()}

@@ -2,17 +2,27 @@
 
 from __future__ import annotations
 
+import logging
+import time
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from fieldloom import schema
+from fieldloom.functions.text import url_base
 from fieldloom.operators.extract import Extractor, envelopes, extract, prompt, route_pages
 from fieldloom.operators.report import markdown, spot_checks
 from fieldloom.operators.store import Store, raw_rows
 from fieldloom.operators.typed import records
 from fieldloom.operators.validate import rollup, score_fields
+from fieldloom.sources.pages import PAGE_GAP, fetch, page_texts
+from fieldloom.sources.registry import distinct_urls, load_registry, page_list
+from fieldloom.sources.robots import fetch_policies, gate, robots_get
+
+log = logging.getLogger("fieldloom")
+#: Fixed value: seconds between extraction requests.
+EXTRACT_PAUSE = 3.0
 
 
 def requests(registry: DataFrame, texts: DataFrame) -> DataFrame:
@@ -50,8 +60,9 @@ def stored_rows(registry: DataFrame, found: DataFrame, as_of: str, run_ts: str)
 def outputs(registry: DataFrame, found: DataFrame, as_of: str, run_ts: str) -> DataFrame:
     """(entity_id, json): id, name, all envelopes and the validation report, one document per entity."""
     _, reports = process(registry, found, as_of, run_ts)
-    envelope = F.struct(F.col("prompt_name").alias("field"), F.col("value_json").alias("value"), "confidence", "source_url", "raw_snippet", "needs_review", "notes")
-    fields = found.groupBy("entity_id").agg(F.map_from_entries(F.collect_list(F.struct("storage_key", envelope))).alias("all"))
+    envelope = F.struct(F.col("prompt_name").alias("field"), F.try_parse_json("value_json").alias("value"), "confidence", "source_url", "raw_snippet", "needs_review", "notes")
+    in_order = F.array_sort(F.collect_list(F.struct("pos", "storage_key", envelope.alias("envelope"))), lambda x, y: x["pos"] - y["pos"])
+    fields = found.groupBy("entity_id").agg(F.map_from_entries(F.transform(in_order, lambda x: F.struct(x["storage_key"].alias("k"), x["envelope"].alias("v")))).alias("all"))
     body = F.struct(F.col("id").alias("university_id"), F.col("name"), F.col("all").alias("fields"), F.struct("fields", "critical_issues", "overall_quality_score", "ready_for_storage").alias("validation"))
     joined = registry.select("id", "name", F.col("id").alias("entity_id")).join(fields, "entity_id").join(reports, "entity_id")
     return joined.select("entity_id", F.to_json(body, {"ignoreNullFields": "false"}).alias("json"))
@@ -68,19 +79,44 @@ def watched(found: DataFrame, name: str = "extraction") -> tuple[DataFrame, Obse
     return found.observe(seen, F.count("*").alias("tried"), F.count("value").alias("found"), F.avg("confidence").alias("confidence")), seen
 
 
-def run(spark: SparkSession, registry: DataFrame, texts: DataFrame, extractor: Extractor, store: Store, scratch_path: str, as_of: str, run_ts: str, report_path: str | None = None, sleep: Callable[[float], None] | None = None) -> str | None:
-    """Extract every field of every entity, store the three tables, and return the report.
+def crawl(registry: DataFrame, scratch_path: str, get: Callable | None = None, robots: Callable | None = None, gap: float = PAGE_GAP, sleep: Callable[[float], None] = time.sleep) -> DataFrame:
+    """(entity_id, label, url, text) of a registry's pages: robots, then each distinct url fetched once, politely.
+
+    Policies and pages are written to `scratch_path` before anything reads them, so no host is asked twice.
+    """
+    spark = registry.sparkSession
+    pages = page_list(registry)
+    asked = fetch_policies(pages.select(url_base(F.col("url")).alias("base")), robots or robots_get)
+    asked.write.mode("overwrite").parquet(f"{scratch_path}/policies")
+    gated = gate(distinct_urls(pages), spark.read.parquet(f"{scratch_path}/policies"))
+    fetch(gated, get, gap, sleep).write.mode("overwrite").parquet(f"{scratch_path}/pages")
+    return page_texts(pages, spark.read.schema(schema.FETCHED).parquet(f"{scratch_path}/pages"))
+
+
+def run(
+    spark: SparkSession, registry: DataFrame, texts: DataFrame, extractor: Extractor, store: Store, scratch_path: str, as_of: str, run_ts: str,
+    report_path: str | None = None, pause: float = EXTRACT_PAUSE, skip_empty: bool = False, sleep: Callable[[float], None] = time.sleep,
+) -> str | None:
+    """Extract every field of every entity, store the three tables at once, and report.
 
     Replies are written to `scratch_path` before anything reads them, so the extractor is asked once per
-    request. All three tables come from that one written frame.
+    request. What was tried and found is logged, from a count that rides along with the first upsert. The
+    report is written to `report_path`, line by line, and that path returned; without a path its text is.
+    None for an empty store.
     """
-    options = {"sleep": sleep} if sleep else {}
-    extract(requests(registry, texts), extractor, **options).write.mode("overwrite").parquet(scratch_path)
-    found = envelopes(spark.read.parquet(scratch_path))
+    extract(requests(registry, texts), extractor, skip_empty, pause, sleep).write.mode("overwrite").parquet(scratch_path)
+    found, seen = watched(envelopes(spark.read.parquet(scratch_path)))
     store.create()
-    for name, rows in stored_rows(registry, found, as_of, run_ts).items():
-        store.upsert(name, rows)
+    store.upsert_all(stored_rows(registry, found, as_of, run_ts))
+    log.info("%(tried)s fields tried, %(found)s found, mean confidence %(confidence)s", seen.get)
     parsed = F.from_json("report_json", schema.REPORT).alias("r")
     reports = store.read("universities").select("id", "name").join(store.read("validation_reports").select(F.col("university_id").alias("id"), parsed), "id", "left").select("id", "name", "r.fields", "r.critical_issues")
     entities = store.read("universities").select(F.col("id").alias("entity_id"))
     return markdown(reports, spot_checks(store.read("raw_fields"), entities, schema.routes(spark)), report_path)
+
+
+def start(spark: SparkSession, registry_path: str, extractor: Extractor, store: Store, scratch_path: str, as_of: str, run_ts: str, report_path: str | None = None, get: Callable | None = None, robots: Callable | None = None, gap: float = PAGE_GAP, **options) -> str | None:
+    """From a registry file to the report: `crawl`, then `run` (which takes the options)."""
+    registry = load_registry(spark, registry_path)
+    texts = crawl(registry, f"{scratch_path}/crawl", get, robots, gap, options.get("sleep", time.sleep))
+    return run(spark, registry, texts, extractor, store, f"{scratch_path}/replies", as_of, run_ts, report_path, **options)

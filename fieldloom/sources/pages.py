@@ -20,16 +20,60 @@ def read_pages(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def http_get(url: str, agent: str = "fieldloom-bot/1.0") -> tuple[int, str]:
-    """Status and body by the standard library. Untested against live hosts here."""
-    from urllib.error import HTTPError
-    from urllib.request import Request, urlopen
+class Session:
+    """GET over HTTP that keeps the connection to the last host open, with the standard library.
 
-    try:
-        with urlopen(Request(url, headers={"User-Agent": agent}), timeout=TIMEOUT) as answer:
-            return answer.status, answer.read().decode(answer.headers.get_content_charset() or "utf-8", "replace")
-    except HTTPError as e:
-        return e.code, ""
+    A partition's pages come host by host, so one connection serves a host's pages. A connection that the
+    server has closed is opened anew once; redirects are followed up to `most` times.
+    """
+
+    def __init__(self, agent: str = "fieldloom-bot/1.0", most: int = 10) -> None:
+        self.agent, self.most, self.host, self.connection = agent, most, None, None
+
+    def _connect(self, host: tuple[str, str]):
+        from http.client import HTTPConnection, HTTPSConnection
+
+        if self.host != host:
+            self.close()
+            self.connection, self.host = (HTTPSConnection if host[0] == "https" else HTTPConnection)(host[1], timeout=TIMEOUT), host
+        return self.connection
+
+    def _ask(self, url: str):
+        from http.client import HTTPException
+        from urllib.parse import urlsplit
+
+        parts = urlsplit(url)
+        path = (parts.path or "/") + (f"?{parts.query}" if parts.query else "")
+        fresh = self.host != (parts.scheme, parts.netloc)
+        try:
+            connection = self._connect((parts.scheme, parts.netloc))
+            connection.request("GET", path, headers={"User-Agent": self.agent})
+            answer = connection.getresponse()
+            return answer, answer.read()
+        except (HTTPException, ConnectionError):
+            self.close()
+            if fresh:
+                raise
+            return self._ask(url)
+        except BaseException:
+            self.close()
+            raise
+
+    def __call__(self, url: str) -> tuple[int, str]:
+        """Status and body."""
+        from urllib.parse import urljoin
+
+        for _ in range(self.most + 1):
+            answer, body = self._ask(url)
+            if answer.status not in (301, 302, 303, 307, 308) or not answer.headers.get("Location"):
+                return answer.status, body.decode(answer.headers.get_content_charset() or "utf-8", "replace")
+            url = urljoin(url, answer.headers["Location"])
+        raise OSError("too many redirects")
+
+    def close(self) -> None:
+        if self.connection is not None:
+            self.connection.close()
+        self.host = self.connection = None
 
 
 def fetch_one(url: str, get: Callable[[str], tuple[int, str]], sleep: Callable[[float], None] = time.sleep) -> dict:
@@ -51,26 +95,35 @@ def fetch_one(url: str, get: Callable[[str], tuple[int, str]], sleep: Callable[[
     return {"url": url, "html": None, "status": status, "attempts": len(DELAYS), "waited": waited, "error": error}
 
 
-def fetch(pages: DataFrame, get: Callable[[str], tuple[int, str]] = http_get, gap: float = PAGE_GAP, sleep: Callable[[float], None] = time.sleep) -> DataFrame:
+def fetch(pages: DataFrame, get: Callable[[str], tuple[int, str]] | None = None, gap: float = PAGE_GAP, sleep: Callable[[float], None] = time.sleep) -> DataFrame:
     """Allowed urls (url, allowed) fetched once each; a host's pages are in one partition and one at a time.
 
     That is the politeness rule, not a load balance: hosts, not pages, are the unit of parallelism. Write the
     result before using it twice, and keep speculation off: a recomputed partition asks again. Urls that are
-    not allowed have a null page without a request.
+    not allowed have a null page without a request. A partition asks through one `Session`, which is closed at
+    its end whatever happens, unless `get` is given.
     """
     import pandas as pd
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        session = None if get else Session()
+        try:
+            yield from pages_of(batches, get or session)
+        finally:
+            if session:
+                session.close()
+
+    def pages_of(batches: Iterator[pd.DataFrame], ask: Callable) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             rows = []
             for url, ok in zip(pdf["url"], pdf["allowed"], strict=True):
-                rows.append(fetch_one(url, get, sleep) if ok else {"url": url, "html": None, "status": None, "attempts": 0, "waited": 0.0, "error": "robots"})
+                rows.append(fetch_one(url, ask, sleep) if ok else {"url": url, "html": None, "status": None, "attempts": 0, "waited": 0.0, "error": "robots"})
                 if ok and gap:
                     sleep(gap)
             yield pd.DataFrame(rows, columns=FETCHED.names).astype({"status": "Int32", "attempts": "Int32"})
 
     urls = pages.select("url", "allowed").distinct()
-    return urls.repartition(url_base(F.col("url"))).mapInPandas(run, FETCHED)
+    return urls.repartition(url_base(F.col("url"))).sortWithinPartitions(url_base(F.col("url")), "url").mapInPandas(run, FETCHED)
 
 
 def page_texts(pages: DataFrame, fetched: DataFrame) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fieldloom.functions.text import url_base
+from fieldloom.sources.pages import Session
 
 AGENT = "fieldloom-bot/1.0"
 
@@ -50,6 +51,17 @@ def gate(pages: DataFrame, policies: DataFrame, agent: str = AGENT) -> DataFrame
     return joined.withColumn("allowed", check(F.coalesce("rules", F.lit("")), "url")).drop("rules")
 
 
+def robots_get(url: str) -> tuple[int | None, str | None]:
+    """Status and body of a robots.txt, or None twice for no answer."""
+    session = Session(AGENT)
+    try:
+        return session(url)
+    except Exception:  # unreachable is an answer here
+        return None, None
+    finally:
+        session.close()
+
+
 def fetch_policies(bases: DataFrame, get: Callable[[str], tuple[int | None, str | None]]) -> DataFrame:
     """(base, rules) of each distinct base, one request each; `get` returns status and body, or None for no answer."""
 

@@ -11,8 +11,8 @@ from fieldloom import schema
 from fieldloom.operators.extract import ChatService, Patterns, Recorded, envelopes, extract, parse_reply, with_retries
 from fieldloom.operators.store import Store, latest, ranked_latest, upserted
 from fieldloom.operators.typed import listed_values, records
-from fieldloom.plans.run import outputs, requests, run, watched, write_outputs
-from fieldloom.sources.pages import fetch, fetch_one, fetch_summary, page_texts
+from fieldloom.plans.run import outputs, requests, run, start, watched, write_outputs
+from fieldloom.sources.pages import Session, fetch, fetch_one, fetch_summary, page_texts
 from fieldloom.sources.registry import distinct_urls, load_registry, page_list
 from fieldloom.sources.robots import allowed, fetch_policies, gate, policy
 from fieldloom.streaming.upsert import arrivals, upsert_stream
@@ -137,18 +137,111 @@ def test_run(spark, registry, tmp_path):
     assert (living["text"], living["url"], living["used_label"]) == ("NOK 100", "https://north.example/fees", "tuition") and asked.count() == 20
     replies = {("https://north.example/a", "about_university"): '{"value": {"founding_year": 1900}, "confidence": 1.0}', ("https://north.example/fees", "tuition_fees_all_levels"): '{"value": "NOK 100", "confidence": 0.9}'}
     store = Store(spark, str(tmp_path / "store"))
-    report = run(spark, registry, texts, Recorded(replies), store, str(tmp_path / "replies"), "2024-01-01", "2024-01-02T00:00:00", str(tmp_path / "report.md"))
-    assert "| about | 1.00 | 0.00 | **0.50** |" in report and (tmp_path / "report.md").read_text() == report
-    again = run(spark, registry, texts, Recorded(replies), store, str(tmp_path / "replies2"), "2024-01-01", "2024-01-03T00:00:00")
-    assert again == report and store.read("raw_fields").count() == 20
+    report = run(spark, registry, texts, Recorded(replies), store, str(tmp_path / "replies"), "2024-01-01", "2024-01-02T00:00:00", str(tmp_path / "report.md"), pause=0)
+    text = (tmp_path / "report.md").read_text()
+    assert report == str(tmp_path / "report.md") and "| north | North Institute | 1.00 | 0.90 | 0.50 |" in text and "| **all** |  | 0.50 | 0.45 |" in text
+    again = run(spark, registry, texts, Recorded(replies), store, str(tmp_path / "replies2"), "2024-01-01", "2024-01-03T00:00:00", pause=0)
+    assert again + "\n" == text and store.read("raw_fields").count() == 20
     listed = store.listed().collect()
     assert [r["id"] for r in listed] == ["north", "south"] and listed[0]["confidence"] == round((1 + 0.9 + 0.5 * 6 + 0.4 * 2) / 10, 3)
     assert json.loads(store.record("north"))["about"]["founding_year"] == 1900 and store.record("x") is None
     found = envelopes(extract(asked, Recorded(replies), skip_empty=True))
     body = json.loads(outputs(registry, found, "2024-01-01", "t").filter("entity_id = 'north'").first()["json"])
+    assert body["fields"]["about_raw"]["value"] == {"founding_year": 1900} and list(body["fields"]) == [r.storage_key for r in schema.ROUTES]
     assert body["validation"]["ready_for_storage"] is False and set(body["fields"]) == {r.storage_key for r in schema.ROUTES}
 
 
+def test_start(spark, registry, tmp_path, caplog):
+    """From the registry file to the report: robots, one fetch a url, paced extraction, three tables, counts."""
+    asked = spark.sparkContext.accumulator(0)
+
+    def get(url):
+        asked.add(1)
+        return 200, f"<p>Page {url}</p>"
+
+    robots = lambda url: (200, "User-agent: *\nDisallow: /v") if "north" in url else (None, None)
+    replies = {("https://north.example/a", "about_university"): '{"value": "x", "confidence": 1.0}'}
+    store = Store(spark, str(tmp_path / "store"))
+    with caplog.at_level("INFO", "fieldloom"):
+        report = start(spark, str(tmp_path / "registry.yaml"), Recorded(replies), store, str(tmp_path / "scratch"), "2024-01-01", "2024-01-02T00:00:00", get=get, robots=robots, gap=0, pause=0.01, skip_empty=True)
+    assert asked.value == 3 and "| north | North Institute | 1.00 |" in report and "20 fields tried, 1 found" in caplog.text
+    assert store.read("raw_fields").filter("value_json != 'null'").count() == 1 and store.read("validation_reports").count() == 2
+
+
+def test_session():
+    """One connection serves a host's pages, is opened anew when the server has closed it, and follows redirects."""
+    import socket
+    import threading
+    from http.server import BaseHTTPRequestHandler, ThreadingHTTPServer
+
+    ports = []
+
+    class Handler(BaseHTTPRequestHandler):
+        protocol_version = "HTTP/1.1"
+
+        def do_GET(self):
+            ports.append(self.client_address[1])
+            if self.path == "/old":
+                self.send_response(302)
+                self.send_header("Location", "/new")
+                self.send_header("Content-Length", "0")
+                self.end_headers()
+                return
+            body = self.path.encode()
+            self.send_response(404 if self.path == "/none" else 200)
+            self.send_header("Content-Length", str(len(body)))
+            if self.path == "/last":
+                self.send_header("Connection", "close")
+            self.end_headers()
+            self.wfile.write(body)
+
+        def log_message(self, *args):
+            pass
+
+    server = ThreadingHTTPServer(("127.0.0.1", 0), Handler)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    base = f"http://127.0.0.1:{server.server_address[1]}"
+    session = Session()
+    try:
+        assert [session(f"{base}{p}") for p in ("/a", "/b?c=1", "/old", "/none")] == [(200, "/a"), (200, "/b?c=1"), (200, "/new"), (404, "/none")]
+        assert len(set(ports)) == 1
+        assert session(f"{base}/last")[0] == 200 and session(f"{base}/a")[0] == 200 and len(set(ports)) == 2
+        session.connection.sock.shutdown(socket.SHUT_RDWR)  # as if the server had gone
+        assert session(f"{base}/a") == (200, "/a")
+    finally:
+        session.close()
+        server.shutdown()
+
+
+def test_store_survives_a_crash(spark, tmp_path, monkeypatch):
+    """What fails before the manifest is published changes no table; and a writer that comes second fails."""
+    ts = "timestamp_ntz'2024-01-01 00:00:00'"
+    entities = lambda n: spark.sql(f"select '{n}' id, '{n}' name, {ts} scraped_at, 0.5D overall_confidence, '{{}}' data_json")
+    checked = lambda n: spark.sql(f"select '{n}' university_id, '{{}}' report_json, 0.5D quality_score, 0 ready_for_storage, {ts} created_at")
+    store = Store(spark, str(tmp_path / "store"))
+    store.create()
+    store.upsert_all({"universities": entities("a"), "validation_reports": checked("a")})
+    whole = Store._write
+
+    def fails(self, name, rows):
+        if name == "validation_reports":
+            raise OSError("disk full")
+        return whole(self, name, rows)
+
+    for name, broken in (("_write", fails), ("_publish", lambda self, number, versions: (_ for _ in ()).throw(OSError("killed")))):
+        with monkeypatch.context() as m:
+            m.setattr(Store, name, broken)
+            with pytest.raises(OSError):
+                store.upsert_all({"universities": entities("b"), "validation_reports": checked("b")})
+        again = Store(spark, str(tmp_path / "store"))
+        assert [r["id"] for r in again.listed().collect()] == ["a"] and again.read("validation_reports").count() == 1
+    number, versions = store._manifest()
+    with pytest.raises(RuntimeError):
+        store._publish(number, versions)
+    store.upsert_all({"universities": entities("b"), "validation_reports": checked("b")})
+    assert store.listed().count() == 2 and store.read("validation_reports").count() == 2
+
+
 def test_sinks_and_counts(spark, registry, tmp_path):
     texts = spark.createDataFrame([("north", "about", "https://north.example/a", "Founded in 1900.")], schema.PAGES)
     answers = extract(requests(registry, texts), Patterns({"about_university": r"in (\d+)"}))

@@ -40,3 +40,4 @@ def test_entry(spark):
 
     assert __spark_entry__.entry(spark).count() > 0
     assert set(queries.queries()) <= set(__spark_entry__.queries()) and set(oracle.oracle_sql()) == set(queries.queries())
+    assert set(oracle.oracle_sql()) <= set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
