@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -46,30 +48,43 @@ def goals(cells: DataFrame, axis: str, target: dict | None = None) -> DataFrame:
     return power.select("value", (F.col("p") / total["p"] if total["p"] else F.lit(1.0 / max(1, total["n"]))).alias("goal"))
 
 
-def rake(cells: DataFrame, scratch: Scratch, targets: list[dict] | None = None, rounds: int = 100, close: float = 1e-8) -> DataFrame:
+def rake(cells: DataFrame, scratch: Scratch, targets: list[dict] | None = None, rounds: int = 100, close: float = 1e-5) -> DataFrame:
     """(source, lang, topic, tokens, weight): weights of cells so that weighted token shares meet the goals of all three axes.
 
-    Iterative proportional fitting: each axis in turn is scaled to its goals, until nothing moves by more
-    than `close`. A round is one aggregation and one join an axis over the written cells; a single number of
-    each reaches the driver, however many cells there are. Cells without tokens get weight 1.
+    Iterative proportional fitting. A cell's weight is the product of one factor an axis; each axis in turn
+    gets the factors that bring its shares to its goals, until no share of a value was off by more than
+    `close` before, or no round brings them nearer (goals that these cells cannot meet). A step joins the written cells with the other axes' factors and aggregates them, and its
+    factors are written; one number a round reaches the driver, however many cells there are. Cells without
+    tokens get weight 1.
     """
     total = cells.agg(F.sum("tokens")).first()[0] or 1
-    wanted = [scratch.keep(goals(cells, axis, targets and targets[k]), f"goals-{axis}") for k, axis in enumerate(AXES)]
-    fitted = scratch.keep(cells.filter("tokens > 0").withColumn("share", F.col("tokens") / total), "fitted-0")
+    held = cells.filter("tokens > 0")
+    wanted = {axis: scratch.keep(goals(cells, axis, targets and targets[k]), f"goals-{axis}") for k, axis in enumerate(AXES)}
+    last, steps = float("inf"), {}
+    factors = {axis: wanted[axis].select("value", F.lit(1.0).alias("factor")) for axis in AXES}
+
+    def weighed(axes: tuple[str, ...]) -> DataFrame:
+        out = held.withColumn("weight", F.lit(1.0))
+        for axis in axes:
+            out = out.join(factors[axis], F.col(axis).eqNullSafe(F.col("value"))).withColumn("weight", F.col("weight") * F.col("factor")).drop("value", "factor")
+        return out
+
     for k in range(rounds):
-        moved = fitted.withColumn("before", F.col("share"))
-        for axis, goal in zip(AXES, wanted, strict=True):
-            now = moved.groupBy(F.col(axis).alias("now_value")).agg(F.sum("share").alias("now"))
-            ratio = now.join(goal, F.col("now_value").eqNullSafe(F.col("value"))).select("now_value", F.when(F.col("now") > 0, F.col("goal") / F.col("now")).otherwise(0.0).alias("ratio"))
-            moved = moved.join(ratio, F.col(axis).eqNullSafe(F.col("now_value"))).withColumn("share", F.col("share") * F.col("ratio")).drop("now_value", "ratio")
-        moved = scratch.keep(moved, f"fitted-{k + 1}")
-        scratch.drop(f"fitted-{k}")
-        fitted = moved.drop("before")
-        if (moved.agg(F.max(F.abs(F.col("share") - F.col("before")))).first()[0] or 0.0) <= close:
+        for axis in AXES:
+            others = tuple(a for a in AXES if a != axis)
+            now = weighed(others).groupBy(F.col(axis).alias("held")).agg((F.sum(F.col("tokens") * F.col("weight")) / total).alias("now"))
+            before = factors[axis].select(F.col("value").alias("at"), F.col("factor").alias("before"))
+            joined = now.join(wanted[axis].join(before, F.col("value").eqNullSafe(F.col("at"))).drop("at"), F.col("held").eqNullSafe(F.col("value")))
+            factor = F.when(F.col("now") > 0, F.col("goal") / F.col("now")).otherwise(0.0)
+            step = scratch.keep(joined.select("value", factor.alias("factor"), F.abs(F.col("now") * F.col("before") - F.col("goal")).alias("off")), f"factors-{axis}-{k}")
+            steps[axis], factors[axis] = step.select("off"), step.drop("off")
+        off = reduce(DataFrame.union, steps.values()).agg(F.max("off")).first()[0] or 0.0
+        scratch.drop(*[f"factors-{axis}-{k - 1}" for axis in AXES if k])
+        if off <= close or off > 0.98 * last:
             break
-    mass = fitted.agg(F.sum("share")).first()[0] or 1.0
-    weighed = fitted.select(*AXES, "tokens", (F.col("share") / mass / (F.col("tokens") / total)).alias("weight"))
-    return weighed.union(cells.filter("tokens <= 0").select(*AXES, "tokens", F.lit(1.0)))
+        last = off
+    mass = weighed(AXES).agg(F.sum(F.col("tokens") * F.col("weight"))).first()[0] or 1.0
+    return weighed(AXES).select(*AXES, "tokens", (F.col("weight") * total / mass).alias("weight")).union(cells.filter("tokens <= 0").select(*AXES, "tokens", F.lit(1.0)))
 
 
 def scale(cells: DataFrame, keep: float) -> float:
@@ -90,11 +105,11 @@ def scale(cells: DataFrame, keep: float) -> float:
     return c
 
 
-def mix(docs: DataFrame, scratch: Scratch, columns: tuple[str, ...], targets: list[dict] | None = None, keep: float = 0.5, seed: int = 8) -> tuple[DataFrame, dict[str, str]]:
+def mix(docs: DataFrame, scratch: Scratch, columns: tuple[str, ...], targets: list[dict] | None = None, keep: float = 0.5, seed: int = 8, close: float = 1e-5) -> tuple[DataFrame, dict[str, str]]:
     """`columns` of `docs` with topic, tokens, weight, probability and sampled, and the names that these have there.
 
     Tokens of all documents are summed by (source, lang, topic), the table's distinct cells, which are
-    written; `rake` fits their weights. A document is sampled with the probability min(1, c * weight), where
+    written; `rake` fits their weights, to `close`. A document is sampled with the probability min(1, c * weight), where
     c is chosen so that a share `keep` of all tokens is expected, or as much as weights allow without
     repeats. The draw is a hash of doc_id and seed, so it repeats and equal doc_ids are drawn together; a
     null doc_id is drawn by its text. Null source and lang are values of their own, a null text is empty
@@ -112,7 +127,7 @@ def mix(docs: DataFrame, scratch: Scratch, columns: tuple[str, ...], targets: li
     if "text" not in columns:
         named = scratch.keep(named, "named")
     summed = named.groupBy(source.alias("source"), lang.alias("lang"), col("topic").alias("topic")).agg(F.sum(names["tokens"]).alias("tokens"))
-    weighed = scratch.keep(rake(scratch.keep(summed, "cells"), scratch, targets), "weights")
+    weighed = scratch.keep(rake(scratch.keep(summed, "cells"), scratch, targets, close=close), "weights")
     c = scale(weighed, keep)
     table = weighed.select(F.col("source").alias(names["s"]), F.col("lang").alias(names["l"]), F.col("topic").alias(names["t"]), F.col("weight").alias(names["weight"]), F.least(F.lit(1.0), F.col("weight") * c).alias(names["probability"]))
     same = source.eqNullSafe(col("s")) & lang.eqNullSafe(col("l")) & (col("topic") == col("t"))

@@ -584,7 +584,7 @@ def test_raking(spark):
     cells = {(s, l, "t"): n for s, l, n in (("a", "en", 90), ("a", "de", 10), (None, "en", 30), (None, "de", 70), ("c", "en", 0))}
     targets = [{"a": 0.5, None: 0.5, "c": 0.5}, {"en": 0.8, "de": 0.2}, {"t": 1.0}]
     frame = spark.createDataFrame([(*k, n) for k, n in cells.items()], "source string, lang string, topic string, tokens long")
-    got = {tuple(r[:3]): r["weight"] for r in mixing.rake(frame, Scratch(spark, "rake"), targets).collect()}
+    got = {tuple(r[:3]): r["weight"] for r in mixing.rake(frame, Scratch(spark, "rake"), targets, close=1e-8).collect()}
     assert got == pytest.approx(raked(cells, targets), rel=1e-5) and got[("c", "en", "t")] == 1.0
     mass = {k: n * got[k] for k, n in cells.items()}
     assert sum(v for k, v in mass.items() if k[0] == "a") / sum(mass.values()) == pytest.approx(0.5, abs=1e-6)
@@ -604,7 +604,7 @@ def plain_topic(text: str) -> str:
 
 def test_mixing_brute(spark):
     docs = small(spark).collect()
-    got = rows(mixing.mixed(small(spark)))
+    got = rows(mixing.mixed(small(spark), close=1e-8))
     cells: dict = defaultdict(float)
     for r in docs:
         cells[(r["source"], r["lang"], plain_topic(r["text"]))] += len(WORD.findall(r["text"]))
