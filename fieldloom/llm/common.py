@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 #: Rows of an Arrow batch, and bytes of their texts, that are turned into Python objects at a time.
 SLICE_ROWS, SLICE_BYTES = 256, 8_000_000
 #: Distinct words whose hash a worker remembers; the memory is emptied when full, which changes no result.
-WORD_CACHE = 250_000
+WORD_CACHE = 150_000
 
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5)]
 

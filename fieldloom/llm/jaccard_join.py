@@ -297,11 +297,14 @@ def _chosen(test: Callable, kind: type) -> Callable:
 
 
 def _paired(pairs: DataFrame, table: DataFrame, column: str, count: int) -> DataFrame:
-    """Pairs (x, y) with `column` of `table` for both. Only rows that occur in a pair are dealt out."""
+    """Pairs (x, y) with `column` of `table` for both. Only rows that occur in a pair are dealt out.
+
+    Merge joins at every size: a broadcast would put two Python operators into one stage, and twice the workers.
+    """
     used = pairs.select(F.col("x").alias("doc_id")).union(pairs.select("y")).distinct()
     table = _thinned(table.select("doc_id", column), used, count)
     a, b = (table.select(F.col("doc_id").alias(k), F.col(column).alias(v)) for k, v in (("x", "a"), ("y", "b")))
-    return pairs.join(a, "x").join(b, "y").select("x", "y", "a", "b")
+    return pairs.join(a.hint("merge"), "x").join(b.hint("merge"), "y").select("x", "y", "a", "b")
 
 
 def _linked(pairs: DataFrame, sets: DataFrame, prefixes: DataFrame, count: int, scratch: Scratch, name: str) -> DataFrame:
@@ -367,7 +370,7 @@ def jaccard_components(docs: DataFrame, n: int = 5, scratch: Scratch | None = No
     copies = scratch.keep(kept.join(classes, ["hash", "size"]).select("doc_id", "rep"), "copies")
     reps = classes.select(F.col("rep").alias("doc_id")).distinct()
 
-    sets = scratch.keep(_thinned(known, reps, count).join(reps, "doc_id", "left_semi").mapInArrow(_sets(n), _ddl(_SETS)), "sets")
+    sets = scratch.keep(_thinned(known, reps, count).join(reps.hint("merge"), "doc_id", "left_semi").mapInArrow(_sets(n), _ddl(_SETS)), "sets")
     prefixes = scratch.keep(sets.select("doc_id", "tokens").mapInArrow(_ended, _ddl(_ENDS)), "ends")
     slim = sets.mapInArrow(_slim, _ddl(_SLIM))
     counted = sets.mapInArrow(_counted(buckets), _ddl(_COUNTED)).repartition("bucket").sortWithinPartitions("bucket")
