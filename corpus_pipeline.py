@@ -50,6 +50,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of the last stage over the whole documents table: one row per piece of a training window.
+
+    Nulls, empty and very long texts, ties, repeated rows and columns of any name are treated as the
+    operators' docstrings say: null and empty texts fail the quality rules, and of rows of one doc_id all go
+    or stay together in near duplicates. An empty table gives no rows.
+    """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     scratch = Scratch(spark, "pipeline")
     for k, (_, stage) in enumerate(STAGES):

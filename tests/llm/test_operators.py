@@ -278,6 +278,8 @@ def test_html_brute(spark):
 
 def test_html_odd(spark):
     got = rows(html_text.extract(spark.createDataFrame([(1, "u", None, 5), (2, None, "", 5), (None, "u", "<p>" + "word " * 30, 5), (1, "u", None, 5)], "page_id long, url string, html string, text int")).dropDuplicates(), "page_id")
+    assert html_text.extract(spark.createDataFrame([], "page_id long, url string, html string")).collect() == []
+    assert len(html_text.main_text("<p>" + "word " * 400_000)) == 1_999_999
     assert got[1]["text"] == "" and got[2]["n_chars"] == 0 and got[None]["text"].startswith("word word") and len(got) == 3
     page = """<body><header><h1>Site</h1></header><div class="cookie-notice">We use cookies and ask that you accept them all</div><div><h2>Title here</h2>
     <p>A long paragraph of text that goes on &amp; on with <a href=x>a link</a> in it, until at last it ended.<p>Short.<script>var a = "</p>";</script><p title="a > b">Last words.</div>

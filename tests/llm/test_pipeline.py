@@ -7,6 +7,15 @@ from tests.llm.conftest import prose
 from tests.llm.test_operators import deduplicated, sets_of
 
 
+def test_run_odd_and_empty(spark, odd, tmp_path):
+    """Nulls, blank and very long texts, repeated rows and clashing columns pass through; an empty table gives no rows."""
+    odd.unionByName(odd.filter("doc_id = 9").selectExpr("doc_id + 100 AS doc_id", *[f"`{c}`" for c in odd.columns if c != "doc_id"])).write.parquet(str(tmp_path / "odd" / "documents.parquet"))
+    got = corpus_pipeline.run(spark, str(tmp_path / "odd")).collect()
+    assert {r["doc_id"] for r in got} <= {1, 2, 3, 8, 9, 109, None} and {r["doc_id"] for r in got} & {1, 9, None}
+    odd.filter("false").write.parquet(str(tmp_path / "empty" / "documents.parquet"))
+    assert corpus_pipeline.run(spark, str(tmp_path / "empty")).collect() == []
+
+
 def test_stages(spark, tmp_path):
     good = prose(1, 200)
     docs = [(i, prose(i, 150), "en", f"s{i % 3}") for i in range(20)]
