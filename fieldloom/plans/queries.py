@@ -12,6 +12,8 @@ from fieldloom.functions.text import PROMPT_CAP, html_to_text, normal_url, url_b
 from fieldloom.operators import merge, report, store, typed, validate
 from fieldloom.operators.extract import parse_reply, prompt, route_pages, value_text
 from fieldloom.plans.run import outputs
+from fieldloom.sources.pages import fetch_summary
+from fieldloom.sources.registry import page_list
 from fieldloom.sources.robots import gate
 
 AS_OF = "1998-01-01"
@@ -51,8 +53,8 @@ def q01_html_text(spark, d):
 
 
 def q02_fetch_summary(spark, d):
-    rows = _read(spark, d, "pages").select(url_base(F.col("url")).alias("base"), F.length(html_to_text(F.col("html"))).alias("n"))
-    return rows.groupBy("base").agg(F.count_if(F.col("n") > 0).alias("fetched"), F.count("*").alias("total"), F.sum("n").alias("chars"))
+    texts = _read(spark, d, "pages").select(url_base(F.col("url")).alias("entity_id"), html_to_text(F.col("html")).alias("text"))
+    return fetch_summary(texts).withColumnRenamed("entity_id", "base")
 
 
 def q03_robots_gate(spark, d):
@@ -64,9 +66,11 @@ def q03_robots_gate(spark, d):
 
 
 def q04_registry_explode(spark, d):
-    labels = F.explode(F.map_from_arrays(F.lit(["about", "tuition"]), F.array(F.concat(F.lit("https://"), F.lower("n_name"), F.lit(".example/about")), F.concat(F.lit("https://"), F.lower("n_name"), F.lit(".example/fees")))))
-    entities = _read(spark, d, "nation").join(_read(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
-    return entities.select(F.col("n_nationkey").alias("entity_id"), F.col("r_name").alias("country"), labels.alias("label", "url"))
+    """A registry of nations, each with two labelled pages, as its page list."""
+    address = lambda page: F.concat(F.lit("https://"), F.lower("n_name"), F.lit(f".example/{page}"))
+    held = _read(spark, d, "nation").join(_read(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    registry = held.select(F.col("n_nationkey").alias("id"), F.col("r_name").alias("country"), F.create_map(F.lit("about"), address("about"), F.lit("tuition"), address("fees")).alias("pages"))
+    return page_list(registry).join(registry.select(F.col("id").alias("entity_id"), "country"), "entity_id").select("entity_id", "country", "label", "url")
 
 
 def q05_route_fallback(spark, d):

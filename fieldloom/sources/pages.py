@@ -132,5 +132,6 @@ def page_texts(pages: DataFrame, fetched: DataFrame) -> DataFrame:
 
 
 def fetch_summary(texts: DataFrame) -> DataFrame:
-    """Pages fetched (a text that is not empty) and tried, per entity."""
-    return texts.groupBy("entity_id").agg(F.count_if(F.length("text") > 0).alias("fetched"), F.count("*").alias("total"))
+    """Pages fetched (a text that is not empty) and tried, and the characters fetched, per entity."""
+    n = F.length("text")
+    return texts.groupBy("entity_id").agg(F.count_if(n > 0).alias("fetched"), F.count("*").alias("total"), F.coalesce(F.sum(n), F.lit(0)).alias("chars"))
