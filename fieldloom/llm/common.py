@@ -10,7 +10,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Rows of an Arrow batch, and bytes of their texts, that are turned into Python objects at a time.
 SLICE_ROWS, SLICE_BYTES = 256, 8_000_000
@@ -69,6 +70,30 @@ class Scratch:
             self._fs().delete(self._path(f"{self.root}/{name}"), True)
 
 
+#: Bits of a key filter a key, and at most (16 MB).
+KEY_BITS, MOST_KEY_BITS = 16, 2**27
+
+
+def parted(rows: DataFrame, key: Column, keys: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+    """`rows` in two parts: those whose key may be among `keys` (one column of longs), and those whose key surely is not.
+
+    A bitmap of hashed keys, built in pieces of 32,768 bits and broadcast, tells them apart before any
+    shuffle: whoever joins the first part with the keys, exactly, moves no row of the second. The bitmap is
+    bounded, so beyond some 10^9 keys the second part is empty. Null keys are keys.
+    """
+    n = min(MOST_KEY_BITS, 2 ** max(15, (KEY_BITS * keys.count() - 1).bit_length()))
+    place = lambda x: F.pmod(F.xxhash64(x), F.lit(n)) + 1
+    bits = keys.select(place(keys.columns[0]).alias("p")).groupBy(F.bitmap_bucket_number("p").alias("k")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("p")).alias("b"))
+    names = unused(rows, "k", "b", "p")
+    k, b, p = map(F.col, names)
+    pieces = F.broadcast(scratch.keep(bits, f"bits-{uuid.uuid4().hex}").toDF(*names[:2]))
+    at = F.bitmap_bit_position(p)
+    octet = F.conv(F.hex(F.substring(b, (F.floor(at / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    marked = F.call_function("shiftright", octet, (at % 8).cast("int")).bitwiseAND(F.lit(1)) == 1
+    tested = rows.withColumn(names[2], place(key)).join(pieces, F.bitmap_bucket_number(p) == k, "left").withColumn(names[2], F.coalesce(marked, F.lit(False)))
+    return tested.filter(p).select(*rows.columns), tested.filter(~p).select(*rows.columns)
+
+
 class WordHashes(dict):
     """64-bit hash of a word (bytes), remembered up to WORD_CACHE words."""
 

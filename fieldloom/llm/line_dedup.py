@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fieldloom.llm.common import Scratch, unused
+from fieldloom.llm.common import Scratch, parted, unused
 from fieldloom.llm.quality import let
 
 #: Words of a repeated run from which its later copies go.
@@ -118,13 +118,18 @@ def dedup(docs: DataFrame, scratch: Scratch | None = None, least: int = MIN_WORD
     `least` words stay. Blank lines stay where they are, unless every other line goes: then text is "".
     Rows equal in doc_id and text are one document. Null and empty texts stay as they are; texts of any
     length are read whole; other columns are kept, whatever their names; an empty table stays empty.
+
+    Texts meet the numbers of their deleted lines by a merge join at every size; only those that may have
+    any are dealt out for it, the others stay where they are read.
     """
     scratch = scratch or Scratch(docs.sparkSession, "lines")
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     doc, hash_, n, n_gone, places, i, h = unused(docs, "doc", "hash", "n", "n_gone", "places", "i", "h")
     keyed = docs.withColumns({doc: F.col("doc_id").cast("long"), hash_: F.xxhash64(text)})
     keys = deletions(docs, scratch, least).select(F.col("doc").alias(i), F.col("hash").alias(h), F.col("gone").alias(places))
-    joined = keyed.join(keys, F.col(doc).eqNullSafe(F.col(i)) & (F.col(hash_) == F.col(h)), "left").drop(i, h, doc, hash_)
+    some, none = parted(keyed, F.xxhash64(doc, hash_), keys.select(F.xxhash64(i, h).alias(i)), scratch)
+    some = some.join(keys.hint("merge"), F.col(doc).eqNullSafe(F.col(i)) & (F.col(hash_) == F.col(h)), "left").drop(i, h, doc, hash_)
+    joined = some.unionByName(none.drop(doc, hash_).withColumn(places, F.lit(None).cast("array<int>")))
     full = lambda x: x.rlike(r"[^\x20\x09-\x0D]")
 
     def rest(all_: Column) -> Column:
@@ -146,4 +151,4 @@ def line_dedup(docs: DataFrame, scratch: Scratch | None = None) -> DataFrame:
 def keep_first(docs: DataFrame, scratch: Scratch | None = None) -> DataFrame:
     """`docs` without later copies; documents of which nothing is left are gone. Columns stay as they are."""
     out, n, n_gone = dedup(docs, scratch)
-    return out.filter((F.col(n_gone) < F.col(n)) | (F.col(n) == 0)).select(*docs.columns)
+    return out.filter((F.col(n_gone) == 0) | (F.col(n_gone) < F.col(n))).select(*docs.columns)

@@ -14,7 +14,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from fieldloom.llm import components, fingerprints, html_text, jaccard_join, line_dedup, mixing, packing, pii, quality, tokencount, toxicity
+from fieldloom.llm import common, components, fingerprints, html_text, jaccard_join, line_dedup, mixing, packing, pii, quality, tokencount, toxicity
 from fieldloom.llm.common import Scratch, documents, shingles, slices, word_hashes
 from tests.llm.conftest import prose
 
@@ -416,6 +416,26 @@ def test_lines_chain_of_parts(spark):
     assert [got[i]["n_deleted"] for i in range(1, 7)] == [0, 0, 0, 3, 0, 24] and got[6]["text"] == "w"
 
 
+@pytest.mark.parametrize("bits", [None, 8])
+def test_lines_move_few_texts(spark, monkeypatch, bits):
+    """Only texts that may lose lines are dealt out, by the same join at every size; a full filter changes no result."""
+    if bits:
+        monkeypatch.setattr(common, "MOST_KEY_BITS", bits)
+    docs = [(i, prose(i, 60)) for i in range(60)] + [(60 + i, prose(i, 60) + "\nand more") for i in range(4)] + [(None, prose(0, 60)), (None, None), (70, prose(70, 60) + "\n" + prose(70, 60))]
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    out = line_dedup.keep_first(frame)
+    assert sorted((r["doc_id"], r["text"]) for r in out.collect() if r["doc_id"] is not None) == sorted((i, t) for i, t in deduplicated(docs[:64] + docs[-1:], line_dedup.MIN_WORDS).items() if t)
+    assert [r["text"] for r in out.collect() if r["doc_id"] is None] == [None]
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "LeftOuter" in plan and "Union" in plan
+    keys = spark.range(5).toDF("x")
+    some, none = common.parted(frame, frame["doc_id"], keys, Scratch(spark, "parted"))
+    ids = [r["doc_id"] for r in some.collect()]
+    assert {0, 1, 2, 3, 4} <= set(ids) and some.columns == none.columns == frame.columns
+    assert sorted(map(str, ids + [r["doc_id"] for r in none.collect()])) == sorted(str(i) for i, _ in docs)
+    assert len(ids) < 10 or bits
+
+
 def test_lines_ranks(spark):
     """Ranks after a round order the suffixes as their first two lines do, and only repeated ones have one."""
     lines = [3, 1, 2, 1, 2, 3, 1, 9]
