@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -51,40 +49,37 @@ def goals(cells: DataFrame, axis: str, target: dict | None = None) -> DataFrame:
 def rake(cells: DataFrame, scratch: Scratch, targets: list[dict] | None = None, rounds: int = 100, close: float = 1e-5) -> DataFrame:
     """(source, lang, topic, tokens, weight): weights of cells so that weighted token shares meet the goals of all three axes.
 
-    Iterative proportional fitting. A cell's weight is the product of one factor an axis; each axis in turn
-    gets the factors that bring its shares to its goals, until no share of a value was off by more than
-    `close` before, or no round brings them nearer (goals that these cells cannot meet). A step joins the written cells with the other axes' factors and aggregates them, and its
-    factors are written; one number a round reaches the driver, however many cells there are. Cells without
-    tokens get weight 1.
+    Iterative proportional fitting. Each axis in turn multiplies the weights of its values by the factors that
+    bring their shares to the goals, until no share of a value was off by more than `close` before, or no
+    round brings them nearer (goals that these cells cannot meet). The cells carry their weights and goals, so
+    a step is one aggregation of the written cells and one join back, which writes them anew: few and small
+    plans, as the driver's memory goes to plans and broadcasts. One number a round reaches the driver, however
+    many cells there are. Cells without tokens get weight 1.
     """
     total = cells.agg(F.sum("tokens")).first()[0] or 1
-    held = cells.filter("tokens > 0")
-    wanted = {axis: scratch.keep(goals(cells, axis, targets and targets[k]), f"goals-{axis}") for k, axis in enumerate(AXES)}
-    last, steps = float("inf"), {}
-    factors = {axis: wanted[axis].select("value", F.lit(1.0).alias("factor")) for axis in AXES}
-
-    def weighed(axes: tuple[str, ...]) -> DataFrame:
-        out = held.withColumn("weight", F.lit(1.0))
-        for axis in axes:
-            out = out.join(factors[axis], F.col(axis).eqNullSafe(F.col("value"))).withColumn("weight", F.col("weight") * F.col("factor")).drop("value", "factor")
-        return out
-
+    held = cells.filter("tokens > 0").select(*AXES, "tokens", F.lit(1.0).alias("weight"), F.lit(0.0).alias("off"))
+    for k, axis in enumerate(AXES):
+        wanted = goals(cells, axis, targets and targets[k]).withColumnRenamed("goal", f"{axis}_goal")
+        held = held.join(wanted, F.col(axis).eqNullSafe(F.col("value"))).drop("value")
+    names = ["raked"]
+    held, last = scratch.keep(held, names[0]), float("inf")
+    share = F.sum(F.col("tokens") * F.col("weight")) / total
     for k in range(rounds):
         for axis in AXES:
-            others = tuple(a for a in AXES if a != axis)
-            now = weighed(others).groupBy(F.col(axis).alias("held")).agg((F.sum(F.col("tokens") * F.col("weight")) / total).alias("now"))
-            before = factors[axis].select(F.col("value").alias("at"), F.col("factor").alias("before"))
-            joined = now.join(wanted[axis].join(before, F.col("value").eqNullSafe(F.col("at"))).drop("at"), F.col("held").eqNullSafe(F.col("value")))
+            now = held.groupBy(F.col(axis).alias("value")).agg(share.alias("now"), F.first(f"{axis}_goal").alias("goal"))
             factor = F.when(F.col("now") > 0, F.col("goal") / F.col("now")).otherwise(0.0)
-            step = scratch.keep(joined.select("value", factor.alias("factor"), F.abs(F.col("now") * F.col("before") - F.col("goal")).alias("off")), f"factors-{axis}-{k}")
-            steps[axis], factors[axis] = step.select("off"), step.drop("off")
-        off = reduce(DataFrame.union, steps.values()).agg(F.max("off")).first()[0] or 0.0
-        scratch.drop(*[f"factors-{axis}-{k - 1}" for axis in AXES if k])
+            now = now.select("value", factor.alias("factor"), F.abs(F.col("now") - F.col("goal")).alias("missed"))
+            off = F.col("missed") if axis == AXES[0] else F.greatest("off", "missed")
+            moved = held.join(now, F.col(axis).eqNullSafe(F.col("value"))).withColumns({"weight": F.col("weight") * F.col("factor"), "off": off})
+            names.append(f"raked-{axis}-{k}")
+            held = scratch.keep(moved.drop("value", "factor", "missed"), names[-1])
+            scratch.drop(names[-2])
+        off = held.agg(F.max("off")).first()[0] or 0.0
         if off <= close or off > 0.98 * last:
             break
         last = off
-    mass = weighed(AXES).agg(F.sum(F.col("tokens") * F.col("weight"))).first()[0] or 1.0
-    return weighed(AXES).select(*AXES, "tokens", (F.col("weight") * total / mass).alias("weight")).union(cells.filter("tokens <= 0").select(*AXES, "tokens", F.lit(1.0)))
+    mass = held.agg(F.sum(F.col("tokens") * F.col("weight"))).first()[0] or 1.0
+    return held.select(*AXES, "tokens", (F.col("weight") * total / mass).alias("weight")).union(cells.filter("tokens <= 0").select(*AXES, "tokens", F.lit(1.0)))
 
 
 def scale(cells: DataFrame, keep: float) -> float:

@@ -624,6 +624,20 @@ def plain_topic(text: str) -> str:
     return "digits" if len(re.findall("[0-9]", text)) / n > 0.2 else "prose"
 
 
+def test_raking_joins(spark, monkeypatch):
+    """A step of raking joins once, so that the driver plans and broadcasts little."""
+    joins, keep = [], Scratch.keep
+
+    def counted(self, df, name):
+        joins.append(df._jdf.queryExecution().optimizedPlan().toString().count("Join "))
+        return keep(self, df, name)
+
+    monkeypatch.setattr(Scratch, "keep", counted)
+    frame = spark.createDataFrame([(s, l, t, 7 * i + j + k + 1) for i, s in enumerate("ab") for j, l in enumerate(("en", None)) for k, t in enumerate("xy")], "source string, lang string, topic string, tokens long")
+    assert mixing.rake(frame, Scratch(spark, "rake")).count() == 8
+    assert len(joins) > 6 and sum(joins) <= 3 + len(joins) - 1
+
+
 def test_mixing_brute(spark):
     docs = small(spark).collect()
     got = rows(mixing.mixed(small(spark), close=1e-8))
