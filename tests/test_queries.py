@@ -53,7 +53,7 @@ def agrees(spark, name, pages, folder):
     return mine == sorted(tuple(plain(v) for v in r) for r in con.sql(oracle.oracle_sql()[name]).select(*[f'"{c}"' for c in columns]).fetchall()), mine
 
 
-@pytest.mark.parametrize("name", ["q01_html_text", "q02_fetch_summary"])
+@pytest.mark.parametrize("name", ["q01_html_text", "q02_fetch_summary", "q05_route_fallback"])
 def test_references_without_semicolon(spark, tmp_path, name):
     texts = ["<title>a&amp;&amp</title><p>a&amp;&quot;b&am</p>", "<p>&ampx &lt b &copy &eacute &#39 &#x27 &#8217</p>", "<p>&amp;amp &amp&amp; &notit &amplify; &</p>", "<p>&copy; a</p>", "<p>a &amp; b</p>"]
     same, rows = agrees(spark, name, [(i, f"https://h{i % 2}.example/{i}", x) for i, x in enumerate(texts, 1)], tmp_path)
