@@ -18,14 +18,15 @@ def _strip(x: str) -> str:
     return rf"regexp_replace({x}, '^{_WHITE}+|{_WHITE}+$', '', 'g')"
 
 
-def _text(html: str) -> str:
+def _text(html: str, cap: int | None = 8000) -> str:
     x = html
     for tag in DROPPED_TAGS:
         x = rf"regexp_replace({x}, '(?is)<{tag}\b[^>]*>.*?</{tag}\s*>', chr(1), 'g')"
     x = rf"regexp_replace(regexp_replace({x}, '(?s)<!--.*?-->', chr(1), 'g'), '(?s)<[^>]*>', chr(1), 'g')"
     for name, char in ENTITIES.items():
         x = f"replace({x}, {_quoted(name)}, {_quoted(char)})"
-    return f"substring(array_to_string(list_filter(list_transform(string_split({x}, chr(1)), lambda s: {_strip('s')}), lambda s: s <> ''), ' '), 1, 8000)"
+    whole = f"array_to_string(list_filter(list_transform(string_split({x}, chr(1)), lambda s: {_strip('s')}), lambda s: s <> ''), ' ')"
+    return f"substring({whole}, 1, {cap})" if cap else whole
 
 
 _BASE = "regexp_extract(url, '^([a-z]+://[^/?#]+)', 1)"
@@ -83,7 +84,7 @@ _TWO = f"""{_EXT}, ranked as (select *, row_number() over (partition by entity_i
 
 def oracle_sql() -> dict[str, str]:
     return {
-        "q01_html_text": f"select page_id, length(t) as n_chars, md5(t) as text_md5, md5(substring(t, 1, 4000)) as prompt_md5 from (select page_id, {_text('html')} as t from pages)",
+        "q01_html_text": f"select page_id, length(t) as n_chars, md5(t) as text_md5, md5(substring(t, 1, 4000)) as prompt_md5 from (select page_id, {_text('html', cap=None)} as t from pages)",
         "q02_fetch_summary": f"select {_BASE} as base, count(*) filter (n > 0) as fetched, count(*) as total, cast(sum(n) as bigint) as chars from (select url, length({_text('html')}) as n from pages) group by 1",
         "q03_robots_gate": f"""with p as (select page_id, url, {_BASE} as base, regexp_extract(url, '^[a-z]+://[^/?#]+(.*)$', 1) as path from pages),
  g as (select *, case when starts_with(base, 'http:') then not starts_with(path, '/de/') when contains(base, '//m.') then false else true end as allowed from p)

@@ -46,7 +46,7 @@ def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q01_html_text(spark, d):
-    text = html_to_text(F.col("html"))
+    text = html_to_text(F.col("html"), cap=None)
     return _read(spark, d, "pages").select("page_id", text.alias("text")).select(
         "page_id", F.length("text").cast("long").alias("n_chars"), F.md5("text").alias("text_md5"), F.md5(F.substring("text", 1, PROMPT_CAP)).alias("prompt_md5")
     )

@@ -58,3 +58,11 @@ def test_references_without_semicolon(spark, tmp_path, name):
     texts = ["<title>a&amp;&amp</title><p>a&amp;&quot;b&am</p>", "<p>&ampx &lt b &copy &eacute &#39 &#x27 &#8217</p>", "<p>&amp;amp &amp&amp; &notit &amplify; &</p>", "<p>&copy; a</p>", "<p>a &amp; b</p>"]
     same, rows = agrees(spark, name, [(i, f"https://h{i % 2}.example/{i}", x) for i, x in enumerate(texts, 1)], tmp_path)
     assert same and rows
+
+
+def test_whole_texts(spark, tmp_path):
+    pages = [(1, "https://h.example/1", "<p>" + "ab " * 5000 + "</p><p>end</p>"), (2, "https://h.example/2", "<p>" + "ab " * 5000 + "</p><p>End</p>"), (3, "https://h.example/3", "<p>é&amp;</p>" * 4001)]
+    same, rows = agrees(spark, "q01_html_text", pages, tmp_path)
+    columns = sorted(("page_id", "n_chars", "text_md5", "prompt_md5"))
+    assert same and sorted(int(r[columns.index("n_chars")]) for r in rows) == [12002, 15003, 15003]
+    assert len({r[columns.index("text_md5")] for r in rows}) == 3
