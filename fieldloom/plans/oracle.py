@@ -85,7 +85,7 @@ _TWO = f"""{_EXT}, ranked as (select *, row_number() over (partition by entity_i
 def oracle_sql() -> dict[str, str]:
     return {
         "q01_html_text": f"select page_id, length(t) as n_chars, md5(t) as text_md5, md5(substring(t, 1, 4000)) as prompt_md5 from (select page_id, {_text('html', cap=None)} as t from pages)",
-        "q02_fetch_summary": f"select {_BASE} as base, count(*) filter (n > 0) as fetched, count(*) as total, cast(sum(n) as bigint) as chars from (select url, length({_text('html')}) as n from pages) group by 1",
+        "q02_fetch_summary": f"select {_BASE} as base, count(*) filter (n > 0) as fetched, count(*) as total, cast(sum(n) as bigint) as chars from (select url, length({_text('html', cap=None)}) as n from pages) group by 1",
         "q03_robots_gate": f"""with p as (select page_id, url, {_BASE} as base, regexp_extract(url, '^[a-z]+://[^/?#]+(.*)$', 1) as path from pages),
  g as (select *, case when starts_with(base, 'http:') then not starts_with(path, '/de/') when contains(base, '//m.') then false else true end as allowed from p)
  select page_id, base, allowed, case when allowed then url end as fetch_url from g""",

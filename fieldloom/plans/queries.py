@@ -53,7 +53,7 @@ def q01_html_text(spark, d):
 
 
 def q02_fetch_summary(spark, d):
-    texts = _read(spark, d, "pages").select(url_base(F.col("url")).alias("entity_id"), html_to_text(F.col("html")).alias("text"))
+    texts = _read(spark, d, "pages").select(url_base(F.col("url")).alias("entity_id"), html_to_text(F.col("html"), cap=None).alias("text"))
     return fetch_summary(texts).withColumnRenamed("entity_id", "base")
 
 

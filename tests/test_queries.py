@@ -66,3 +66,9 @@ def test_whole_texts(spark, tmp_path):
     columns = sorted(("page_id", "n_chars", "text_md5", "prompt_md5"))
     assert same and sorted(int(r[columns.index("n_chars")]) for r in rows) == [12002, 15003, 15003]
     assert len({r[columns.index("text_md5")] for r in rows}) == 3
+
+
+def test_summary_of_whole_texts(spark, tmp_path):
+    pages = [(1, "https://h.example/1", "<p>" + "ab " * 5000 + "</p><p>end</p>"), (2, "https://h.example/2", "<p>é&amp;</p>" * 4001), (3, "https://g.example/3", "<p></p>")]
+    same, rows = agrees(spark, "q02_fetch_summary", pages, tmp_path)
+    assert same and rows == [("https://g.example", "0", "0", "1"), ("https://h.example", "27005", "2", "2")]
